@@ -172,8 +172,7 @@ def listed(values: Column | str, separator: str = ", ") -> Column:
 def first_known(value: Column | str, order: list[str]) -> Column:
     """Aggregate: the first non-NULL value by ``order``, ties to the smaller value.
 
-    A minimum over (order, value), so it is combined before any shuffle and
-    gives the same answer on every run.
+    A minimum over (order, value): combined before any shuffle, the same on every run.
     """
     value = as_col(value)
     ranked = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], value.alias("value"))

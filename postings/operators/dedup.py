@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postings.functions import first_known, listed
+from postings.functions import listed
+
+
+def _first_row(order: list[str], columns: list[str]) -> Column:
+    """Aggregate: the first row by ``order``, ties by the values of ``columns``.
+
+    A minimum over a struct: it combines before any shuffle, keeps one row per
+    group, and gives the same answer on every run.
+    """
+    ranks = F.struct(*order).alias("ranks")
+    return F.min(F.struct(ranks, F.struct(*columns).alias("row"))).getField("row")
 
 
 def dedup(
@@ -18,25 +28,29 @@ def dedup(
 ) -> DataFrame:
     """Collapse repeats of ``keys``.
 
-    Every attribute takes its first non-NULL value by ``order``; ``list_of``
-    becomes the ordered list of its distinct values. Only minima and a set
-    bounded by the distinct list values are kept per group, so repeats are
-    merged before the shuffle and a key that repeats in a third of the rows
-    costs one row per map task.
+    The attributes come from the first row by ``order``; one that is NULL there
+    takes the smallest value among the repeats. ``list_of`` becomes the ordered
+    list of its distinct values. A group keeps two rows' worth of values and a
+    set bounded by the distinct list values, so repeats are merged before the
+    shuffle and a key that repeats in a third of the rows costs one row per map
+    task.
     """
-    merged = [first_known(a, order).alias(a) for a in attributes]
+    merged = [_first_row(order, attributes).alias("row")]
+    merged += [F.min(a).alias(a) for a in attributes]
     if list_of:
-        merged.insert(0, listed(list_of).alias(list_as or list_of))
-    return df.groupBy(*keys).agg(*merged)
+        merged.append(listed(list_of).alias(list_as or list_of))
+    return (
+        df.groupBy(*keys)
+        .agg(*merged)
+        .select(
+            *keys,
+            *([list_as or list_of] if list_of else []),
+            *[F.coalesce(f"row.{a}", a).alias(a) for a in attributes],
+        )
+    )
 
 
 def first_rows(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
-    """The whole first row of every non-NULL key by ``order`` (remaining ties by value)."""
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      F.struct(*columns).alias("row"))
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(packed).getField("row").alias("row"))
-        .select(key, "row.*")
-    )
+    """The whole first row of every non-NULL key."""
+    found = _first_row(order, columns).alias("row")
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(found).select(key, "row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postings.functions import key_text
-from postings.operators.sizing import measured_small
+from postings.operators.sizing import local_copy, measured_small
 
 
 def day_sequence(df: DataFrame, day: str) -> DataFrame:
@@ -30,25 +30,33 @@ def day_sequence(df: DataFrame, day: str) -> DataFrame:
 def covered_next(df: DataFrame, day: str, guard: str) -> DataFrame:
     """(day, guard, next_day) for guards that were also observed on the next day.
 
-    One row per day and guard value at most; measured before it is broadcast.
+    At most one row per day and guard value. The pairs are measured first;
+    within the bound everything after them runs on a local relation and the
+    result, never larger than the pairs, is broadcast.
     """
-    seen = measured_small(df.select(day, guard).distinct())
+    pairs = df.select(day, guard).distinct()
+    small = local_copy(pairs)
+    seen = pairs if small is None else small
     after = day_sequence(seen, day).where(F.col("next_day").isNotNull()).select(day, "next_day")
     covered = seen.select(F.col(day).alias("next_day"), guard)
-    return measured_small(after.join(covered, "next_day").select(day, guard, "next_day"))
+    closing = after.join(covered, "next_day").select(day, guard, "next_day")
+    return closing if small is None else F.broadcast(closing)
 
 
 def first_seen(df: DataFrame, key: str, day: str) -> DataFrame:
     return df.groupBy(key).agg(F.min(day).alias("first_seen_on"))
 
 
-def gone_rows(df: DataFrame, key: str, day: str, guard: str) -> DataFrame:
+def gone_rows(
+    df: DataFrame, key: str, day: str, guard: str, coverage: DataFrame | None = None
+) -> DataFrame:
     """Rows of keys missing on the next observed day, dated to that day.
 
     A row closes when its guard was covered on the next observed day and the
     key was not present then. ``last_present_on`` keeps the day it was seen.
+    ``coverage`` may name a cheaper relation with the same day and guard pairs.
     """
-    return _with_next(df, key, day, guard).where(_closes()).select(
+    return _with_next(df, key, day, guard, coverage).where(_closes()).select(
         *[F.col("next_day").alias(day) if c == day else F.col(c) for c in df.columns],
         "first_seen_on",
         F.col(day).alias("last_present_on"),
@@ -76,7 +84,12 @@ def gone_rows_by_join(df: DataFrame, key: str, day: str, guard: str) -> DataFram
 
 
 def daily_status(
-    df: DataFrame, key: str, day: str, guard: str, versioned_by: list[str] | None = None
+    df: DataFrame,
+    key: str,
+    day: str,
+    guard: str,
+    coverage: DataFrame | None = None,
+    versioned_by: list[str] | None = None,
 ) -> DataFrame:
     """Present rows plus gone rows, with ``is_new``, ``is_gone``, ``first_seen_on``, ``last_present_on``.
 
@@ -86,7 +99,7 @@ def daily_status(
     separate as-of join is needed. A row emits itself and, when it closes, its
     gone row, from the same task.
     """
-    timeline = _with_next(df, key, day, guard, versioned_by)
+    timeline = _with_next(df, key, day, guard, coverage, versioned_by)
     here = F.struct(
         F.col(day).alias(day),
         (F.col(day) == F.col("first_seen_on")).alias("is_new"),
@@ -113,7 +126,7 @@ def _closes() -> Column:
     )
 
 
-def _with_next(df, key, day, guard, versioned_by=None) -> DataFrame:
+def _with_next(df, key, day, guard, coverage, versioned_by=None) -> DataFrame:
     by_day = Window.partitionBy(key).orderBy(day)
     steps = [
         F.min(day).over(by_day).alias("first_seen_on"),
@@ -128,4 +141,5 @@ def _with_next(df, key, day, guard, versioned_by=None) -> DataFrame:
     timeline = df.select(*columns, *steps)
     if versioned_by:
         timeline = timeline.withColumn("version_from", F.max("opens").over(by_day)).drop("opens")
-    return timeline.join(covered_next(df, day, guard), [day, guard], "left")
+    closing = covered_next(df if coverage is None else coverage, day, guard)
+    return timeline.join(closing, [day, guard], "left")

@@ -11,19 +11,27 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` as a broadcast local relation if it has at most ``max_rows`` rows, else ``df`` itself.
+def local_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
 
     The rows are fetched with a limit one above the bound, so the driver never
-    holds more than that, and what is fetched is what is broadcast: the relation
-    is computed once. Beyond the bound the relation stays distributed and
-    without a hint, and the join is a shuffled one that adaptive execution may
-    still convert or split.
+    holds more than that.
     """
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` as a broadcast local relation within the bound, else ``df`` itself.
+
+    What is measured is what is broadcast: the relation is computed once.
+    Beyond the bound it stays distributed and without a hint, and the join is a
+    shuffled one that adaptive execution may still convert or split.
+    """
+    small = local_copy(df, max_rows)
+    return df if small is None else F.broadcast(small)
 
 
 def null_safe(left: str, right: str, columns: list[str]) -> Column:

@@ -96,9 +96,9 @@ def _with_keys(daily: DataFrame) -> DataFrame:
     )
 
 
-def fact(ads: DataFrame) -> DataFrame:
+def fact(ads: DataFrame, covered: DataFrame | None = None) -> DataFrame:
     """The daily fact; the version key comes from the same window as the status."""
-    keyed = _with_keys(silver.daily(ads, with_versions=True))
+    keyed = _with_keys(silver.daily(ads, covered, with_versions=True))
     return keyed.withColumn("vacancy_sk", surrogate_key("source_id", "version_from")).select(
         *FACT_COLUMNS
     )

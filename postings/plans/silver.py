@@ -68,6 +68,15 @@ def deduped(staged: DataFrame) -> DataFrame:
     return dedup(staged, [KEY, DAY], ATTRIBUTES, REPEAT_ORDER, "role_query", "role_queries")
 
 
+def coverage(staged: DataFrame) -> DataFrame:
+    """Day and country pairs of the ads, without reading the wide columns.
+
+    An ad seen in several countries on one day counts for the first of them,
+    as in :func:`deduped`, whose order starts with the country.
+    """
+    return staged.groupBy(KEY, DAY).agg(F.min(GUARD).alias(GUARD)).select(DAY, GUARD)
+
+
 def enriched(ads: DataFrame) -> DataFrame:
     """Role, grade, work mode, relevance and the position key."""
     return ads.select(
@@ -87,9 +96,14 @@ def present(staged: DataFrame) -> DataFrame:
     return enriched(deduped(staged))
 
 
-def daily(ads: DataFrame, with_versions: bool = False) -> DataFrame:
-    """Present and gone rows per ad and day, with age and mid salary."""
-    status = daily_status(ads, KEY, DAY, GUARD, VERSIONED if with_versions else None)
+def daily(
+    ads: DataFrame, covered: DataFrame | None = None, with_versions: bool = False
+) -> DataFrame:
+    """Present and gone rows per ad and day, with age and mid salary.
+
+    ``covered`` spares a second pass over ads that are not stored (see :func:`coverage`).
+    """
+    status = daily_status(ads, KEY, DAY, GUARD, covered, VERSIONED if with_versions else None)
     return status.select(
         *[c for c in status.columns if c != "last_present_on"],
         salary_mid().alias("salary_mid"),

@@ -9,7 +9,8 @@ def session(app: str = "postings", master: str | None = None, **settings) -> Spa
     Days are UTC days, so the session zone is UTC. Adaptive execution sizes the
     reduce side from a generous first partition count, splits skewed joins and
     rebalanced writes, and turns joins with a small measured side into
-    broadcasts. Whatever the cluster configures (checkpoint folder, memory,
+    broadcasts. Plans here have hundreds of column expressions, so call sites are
+    not recorded for each. Whatever the cluster configures (checkpoint folder, memory,
     shuffle partitions) stays as it is unless given in ``settings``.
     """
     builder = SparkSession.builder.appName(app)
@@ -17,6 +18,7 @@ def session(app: str = "postings", master: str | None = None, **settings) -> Spa
         builder = builder.master(master)
     wanted = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -9,7 +9,7 @@ one ad may disagree, and no event is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.functions import page_file_name
@@ -22,85 +22,69 @@ TITLES = [
     "International Data Analyst", "Jr Dateningenieur", "Principal MLOps, home office",
     "Audit Intern", "Data Analist", "Sr. Datenwissenschaftler",
 ]
+DESCRIPTIONS = [
+    "hybrid working, python and sql", "work from home, aws", "on site with spark", "kafka and dbt",
+]
+POSTED = ["2023-12-30 22:00:00", "2024-01-05 09:00:00", "2024-01-20 00:30:00"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _listed(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def raw_rows(spark: SparkSession, sf_dir: str, page: Column | None = None) -> DataFrame:
+def raw_rows(spark: SparkSession, sf_dir: str, page: str = "1 + event_id % 3") -> DataFrame:
     """The observations under the names of the raw table, as untidy as landed rows.
 
     Titles carry outer spaces, company names may be blank, and ids or salary
     flags are missing where the event value is out of range.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    u, country = F.col("u"), F.col("country")
-    event_day = F.to_date("ts")
-    turn = F.col("user_id") % 6
-    late = (turn + F.dayofmonth(event_day)) % 9 == 0
-    base = table(spark, sf_dir, "events").select(
+    base = table(spark, sf_dir, "events").selectExpr(
         "value",
-        F.col("user_id").alias("u"),
-        F.dayofmonth(event_day).alias("dd"),
-        F.when(late, F.date_add(event_day, 1)).otherwise(event_day).alias("run_date"),
-        F.col("ts").cast("timestamp").alias("extracted_at"),
-        _pick(COUNTRIES, turn).alias("country"),
-        F.col("event_type").alias("role_query"),
-        ((F.lit(1) + F.col("event_id") % 3).cast("int") if page is None else page).alias("page"),
+        "user_id AS u",
+        "dayofmonth(ts) AS dd",
+        "if((user_id % 6 + dayofmonth(ts)) % 9 = 0, date_add(to_date(ts), 1), to_date(ts)) AS run_date",
+        "cast(ts AS timestamp) AS extracted_at",
+        f"element_at({_listed(COUNTRIES)}, cast(1 + user_id % 6 AS int)) AS country",
+        "event_type AS role_query",
+        f"cast({page} AS int) AS page",
     )
-    paid = country.isin("gb", "us") | (u % 5 == 0)
-    texts = u.cast("string")
-    quarter = (u % 4).cast("string")
-    shift = (u + F.floor((F.col("dd") - 1) / 15)) % 3
+    paid = "(country IN ('gb', 'us') OR u % 5 = 0)"
     return base.select(
-        page_file_name("run_date", "country", "role_query", "page").alias("source_file"),
+        page_file_name("run_date", "country", "role_query", "page").alias("source_file"), "*"
+    ).selectExpr(
+        "source_file",
         "run_date",
         "extracted_at",
         "country",
         "role_query",
         "page",
-        F.lit(None).cast("int").alias("count_reported"),
-        F.when(F.col("value") >= 0.5, texts).alias("source_id"),
-        F.concat(
-            F.lit("  "), _pick(TITLES, (u + F.floor((F.col("dd") - 1) / 10)) % 16), F.lit(" ")
-        ).alias("title"),
-        F.when(u % 5 == 0, "hybrid working, python and sql")
-        .when(u % 5 == 1, "work from home, aws")
-        .when(u % 5 == 2, "on site with spark")
-        .when(u % 5 == 3, "kafka and dbt")
-        .alias("description"),
-        F.when(u % 4 == 0, F.to_timestamp(F.lit("2023-12-30 22:00:00")))
-        .when(u % 4 == 1, F.to_timestamp(F.lit("2024-01-05 09:00:00")))
-        .when(u % 4 == 2, F.to_timestamp(F.lit("2024-01-20 00:30:00")))
-        .alias("posted_at"),
-        F.when(u % 11 == 0, F.lit("  "))
-        .otherwise(F.concat(F.when(u % 2 == 0, "Co ").otherwise("CO "), (u % 17).cast("string")))
-        .alias("company_name"),
-        F.when(paid, (30000 + (u % 40) * 1000).cast("double")).alias("salary_min"),
-        F.when(paid & (u % 7 != 1), (40000 + (u % 40) * 1500).cast("double")).alias("salary_max"),
-        F.when(F.col("value") > 200, F.lit(None))
-        .when(country.isin("gb", "us") & (u % 4 == 0), "1")
-        .otherwise("0")
-        .alias("salary_is_predicted"),
-        F.when(u % 3 == 0, "permanent").when(u % 3 == 1, "contract").alias("contract_type"),
-        F.when(shift == 0, "full_time").when(shift == 1, "part_time").alias("contract_time"),
-        F.concat_ws(", ", country, quarter).alias("location_display_name"),
-        F.when(country == "gb", F.when(u % 4 == 0, "London").otherwise("South East"))
-        .when(country == "ca", F.when(u % 4 == 1, "Ontario").otherwise("British Columbia"))
-        .otherwise(F.concat(country, F.lit(" region")))
-        .alias("location_region"),
-        F.when(country == "gb", F.when(u % 4 == 0, "Soho").otherwise("Reading"))
-        .when(country == "ca", F.when(u % 4 == 1, "Toronto Downtown").otherwise("Vancouver"))
-        .when(u % 7 != 2, F.concat(country, F.lit(" city "), quarter))
-        .alias("location_city"),
-        ((u % 90).cast("double")).alias("latitude"),
-        ((u % 180).cast("double")).alias("longitude"),
-        F.concat(F.lit("https://jobs.example/"), texts).alias("redirect_url"),
+        "cast(NULL AS int) AS count_reported",
+        "if(value >= 0.5, cast(u AS string), NULL) AS source_id",
+        f"concat('  ', element_at({_listed(TITLES)}, cast(1 + (u + (dd - 1) div 10) % 16 AS int)), ' ') AS title",
+        f"try_element_at({_listed(DESCRIPTIONS)}, cast(1 + u % 5 AS int)) AS description",
+        f"cast(try_element_at({_listed(POSTED)}, cast(1 + u % 4 AS int)) AS timestamp) AS posted_at",
+        "if(u % 11 = 0, '  ', concat(if(u % 2 = 0, 'Co ', 'CO '), cast(u % 17 AS string))) AS company_name",
+        f"if({paid}, cast(30000 + (u % 40) * 1000 AS double), NULL) AS salary_min",
+        f"if({paid} AND u % 7 <> 1, cast(40000 + (u % 40) * 1500 AS double), NULL) AS salary_max",
+        "CASE WHEN value > 200 THEN NULL WHEN country IN ('gb', 'us') AND u % 4 = 0 THEN '1' ELSE '0' END"
+        " AS salary_is_predicted",
+        "CASE u % 3 WHEN 0 THEN 'permanent' WHEN 1 THEN 'contract' END AS contract_type",
+        "CASE (u + (dd - 1) div 15) % 3 WHEN 0 THEN 'full_time' WHEN 1 THEN 'part_time' END AS contract_time",
+        "concat(country, ', ', cast(u % 4 AS string)) AS location_display_name",
+        "CASE country WHEN 'gb' THEN if(u % 4 = 0, 'London', 'South East')"
+        " WHEN 'ca' THEN if(u % 4 = 1, 'Ontario', 'British Columbia')"
+        " ELSE concat(country, ' region') END AS location_region",
+        "CASE WHEN country = 'gb' THEN if(u % 4 = 0, 'Soho', 'Reading')"
+        " WHEN country = 'ca' THEN if(u % 4 = 1, 'Toronto Downtown', 'Vancouver')"
+        " WHEN u % 7 <> 2 THEN concat(country, ' city ', cast(u % 4 AS string)) END AS location_city",
+        "cast(u % 90 AS double) AS latitude",
+        "cast(u % 180 AS double) AS longitude",
+        "concat('https://jobs.example/', cast(u AS string)) AS redirect_url",
     )
 
 
@@ -122,9 +106,8 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "latitude", "longitude", "salary_min", "salary_max", "salary_is_predicted",
         "contract_type", "contract_time", "redirect_url",
     ))
-    block = (F.floor(F.col("event_id") / 50) + 1).cast("int")
     held = (
-        raw_rows(spark, sf_dir, block)
+        raw_rows(spark, sf_dir, "1 + event_id div 50")
         .groupBy("source_file", "run_date", "country", "role_query", "page")
         .agg(F.collect_list(ad).alias("ads"), F.max("extracted_at").alias("at"))
     )

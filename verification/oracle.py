@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 from postings import fixed
-from verification.observations import COUNTRIES, TITLES
+from verification.observations import COUNTRIES, DESCRIPTIONS, POSTED, TITLES
 from verification.queries import EVENT_PAGE_SIZE, EVENT_QUERIES
 
 
@@ -42,6 +42,8 @@ ATTRS = [
     "is_salary_disclosed", "contract_type", "contract_time", "location_display_name",
     "location_region", "location_city", "latitude", "longitude", "redirect_url",
 ]
+# the first of an ad's repeats on a day; remaining ties by the attributes, missing ones first
+REPEAT_ORDER = "country_code, role_query, page, source_file, " + ", ".join(f"{a} NULLS FIRST" for a in ATTRS)
 
 
 def _raw(page: str) -> str:
@@ -53,10 +55,8 @@ def _raw(page: str) -> str:
         CAST(NULL AS INTEGER) AS count_reported,
         CASE WHEN value >= 0.5 THEN CAST(u AS VARCHAR) END AS source_id,
         '  ' || ({_text_list(TITLES)})[1 + (u + (dd - 1) // 10) % 16] || ' ' AS title,
-        ({_text_list(["hybrid working, python and sql", "work from home, aws", "on site with spark", "kafka and dbt"])})
-            [CASE WHEN u % 5 < 4 THEN 1 + u % 5 END] AS description,
-        ([TIMESTAMP '2023-12-30 22:00:00', TIMESTAMP '2024-01-05 09:00:00', TIMESTAMP '2024-01-20 00:30:00'])
-            [CASE WHEN u % 4 < 3 THEN 1 + u % 4 END] AS posted_at,
+        ({_text_list(DESCRIPTIONS)})[CASE WHEN u % 5 < 4 THEN 1 + u % 5 END] AS description,
+        CAST(({_text_list(POSTED)})[CASE WHEN u % 4 < 3 THEN 1 + u % 4 END] AS TIMESTAMP) AS posted_at,
         CASE WHEN u % 11 = 0 THEN '  ' ELSE (CASE WHEN u % 2 = 0 THEN 'Co ' ELSE 'CO ' END) || (u % 17) END
             AS company_name,
         CASE WHEN paid THEN CAST(30000 + (u % 40) * 1000 AS DOUBLE) END AS salary_min,
@@ -135,10 +135,7 @@ CTES = {
            latitude, longitude, redirect_url, source_file
     FROM raw_rows WHERE source_id IS NOT NULL""",
     "dedup": "\n    SELECT source_id, observed_on, string_agg(DISTINCT role_query, ', ' ORDER BY role_query) AS role_queries,\n"
-    + ",\n".join(
-        f"           first({a} ORDER BY country_code, role_query, page, {a}) FILTER ({a} IS NOT NULL) AS {a}"
-        for a in ATTRS
-    )
+    + ",\n".join(f"           coalesce(first({a} ORDER BY {REPEAT_ORDER}), min({a})) AS {a}" for a in ATTRS)
     + "\n    FROM stg GROUP BY source_id, observed_on",
     "role_rules": f"SELECT * FROM (VALUES {_rule_rows(fixed.ROLE_RULES)}) t(rank, label, pattern)",
     "grade_rules": f"SELECT * FROM (VALUES {_rule_rows(fixed.GRADE_RULES)}) t(rank, label, pattern)",

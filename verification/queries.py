@@ -44,13 +44,17 @@ class Layers:
     def ads(self) -> DataFrame:
         return silver.enriched(self.deduped)
 
+    @property
+    def coverage(self) -> DataFrame:
+        return silver.coverage(self.staged)
+
     @property
     def daily(self) -> DataFrame:
-        return silver.daily(self.ads)
+        return silver.daily(self.ads, self.coverage)
 
     @property
     def facts(self) -> DataFrame:
-        return gold.fact(self.ads)
+        return gold.fact(self.ads, self.coverage)
 
     @property
     def versions(self) -> DataFrame:
@@ -254,7 +258,7 @@ def first_seen(x: Layers) -> DataFrame:
 
 @query
 def gone_rows(x: Layers) -> DataFrame:
-    gone = presence.gone_rows(x.ads, "source_id", "observed_on", "country_code")
+    gone = presence.gone_rows(x.ads, "source_id", "observed_on", "country_code", x.coverage)
     return gone.select(
         "source_id", "observed_on", "country_code", "title", "role_key", "position_id",
         "first_seen_on", "last_present_on",
