@@ -28,11 +28,7 @@ INCOMPLETE_BY_FILES = "incomplete by files"
 FROM_LEDGER = "status file"
 FROM_PAGES = "raw files, no status file"
 
-# --- fixed values: file name formats in the landing folder --------------------
-PAGE_FILES = "raw_*.json"
-PAGE_FILES_OF_DAY = "raw_{day}_*.json"
-LEDGER_FILES = "status_*.json"
-LEDGER_FILE_OF_DAY = "status_{day}.json"
+# Landed file names: raw_<day>_<country>_<query with dashes>_p<page>.json, status_<day>.json
 
 # --- fixed values: title and text patterns, first matching rule wins ----------
 ROLE_RULES = [
@@ -139,6 +135,15 @@ ENVELOPE_SCHEMA = """
     payload STRUCT<count: INT, results: ARRAY<VARIANT>>
 """
 
+AD_TYPE = """STRUCT<
+    id: STRING, title: STRING, description: STRING, created: STRING,
+    company: STRUCT<display_name: STRING>,
+    category: STRUCT<tag: STRING, label: STRING>,
+    location: STRUCT<display_name: STRING, area: ARRAY<STRING>>,
+    latitude: DOUBLE, longitude: DOUBLE,
+    salary_min: DOUBLE, salary_max: DOUBLE, salary_is_predicted: STRING,
+    contract_type: STRING, contract_time: STRING, redirect_url: STRING>"""
+
 LEDGER_SCHEMA = """
     run_date STRING, updated_at STRING, expected_pairs ARRAY<STRING>,
     pairs MAP<STRING, STRUCT<

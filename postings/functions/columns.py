@@ -138,10 +138,11 @@ def pair_key(country: Column | str = "country", query: Column | str = "role_quer
 
 
 def page_file_name(day: Column | str, country: Column | str, query: Column | str, page: Column | str) -> Column:
-    return F.format_string(
-        "raw_%s_%s_%s_p%d.json",
-        as_col(day).cast("string"), as_col(country), role_slug(query), as_col(page),
+    name = F.concat_ws(
+        "_", F.lit("raw"), as_col(day).cast("string"), as_col(country), role_slug(query),
+        F.concat(F.lit("p"), as_col(page).cast("string")),
     )
+    return F.concat(name, F.lit(".json"))
 
 
 def share(part: Column | str, whole: Column | str) -> Column:

@@ -16,14 +16,14 @@ def quantiles(
     df: DataFrame,
     by: list[str],
     wanted: dict[str, tuple[str, float, str]],
+    rows_as: str | None = None,
     approx: bool = False,
 ) -> DataFrame:
     """``wanted[name] = (column, p, kind)`` per group, NULL values ignored.
 
     ``continuous`` interpolates between the two neighbouring values,
     ``discrete`` is the smallest value whose cumulative share reaches ``p``.
-    Groups without any value do not appear (join them back with
-    :func:`with_quantiles`).
+    A group without values gets NULL. ``rows_as`` names the row count.
 
     Spark's own exact percentile keeps all distinct values of a group in one
     buffer. Here equal values are first counted (combined before the shuffle),
@@ -33,8 +33,9 @@ def quantiles(
     orders is the distinct amounts inside one bucket, by a spilling sort.
     """
     if approx:
+        size = [F.count("*").alias(rows_as)] if rows_as else []
         return df.groupBy(*by).agg(
-            *[F.percentile_approx(c, p).alias(n) for n, (c, p, _) in wanted.items()]
+            *size, *[F.percentile_approx(c, p).alias(n) for n, (c, p, _) in wanted.items()]
         )
 
     columns = list(dict.fromkeys(c for c, _, _ in wanted.values()))
@@ -47,24 +48,27 @@ def quantiles(
         ])
         values = df.select(*by, F.explode(pairs).alias("p")).select(*by, "p.m", "p.value")
     counted = (
-        values.where(F.col("value").isNotNull())
-        .groupBy(*by, "m", "value")
+        values.groupBy(*by, "m", "value")
         .agg(F.count("*").alias("n"))
         .withColumn("bucket", _bucket(F.col("value")))
     )
 
+    # NULL values form a bucket of their own: it keeps the group and takes no rank
     group = [*by, "m"]
-    by_bucket = Window.partitionBy(*group).orderBy("bucket")
+    whole = Window.partitionBy(*group)
+    known = F.when(F.col("bucket").isNotNull(), F.col("held")).otherwise(F.lit(0))
     totals = (
         counted.groupBy(*group, "bucket")
         .agg(F.sum("n").alias("held"))
-        .withColumn("total", F.sum("held").over(Window.partitionBy(*group)))
-        .withColumn("start", F.sum("held").over(by_bucket) - F.col("held"))
+        .withColumn("known", known)
+        .withColumn("size", F.sum("held").over(whole))
+        .withColumn("total", F.sum("known").over(whole))
+        .withColumn("start", F.sum("known").over(whole.orderBy("bucket")) - F.col("known"))
     )
-    holds = F.lit(False)
+    holds = F.col("bucket").isNull()
     for column, p, kind in wanted.values():
         for rank in _ranks(p, kind):
-            inside = (rank > F.col("start")) & (rank <= F.col("start") + F.col("held"))
+            inside = (rank > F.col("start")) & (rank <= F.col("start") + F.col("known"))
             holds = holds | ((F.col("m") == columns.index(column)) & inside)
     target = totals.where(holds)
 
@@ -72,27 +76,33 @@ def quantiles(
     by_value = Window.partitionBy(*group, "bucket").orderBy("value")
     ranked = (
         c.join(t, null_safe("c", "t", [*group, "bucket"]))
-        .select(*[F.col(f"c.{k}").alias(k) for k in [*group, "bucket"]], "c.value", "c.n", "t.start", "t.total")
+        .select(
+            *[F.col(f"c.{k}").alias(k) for k in [*group, "bucket"]],
+            "c.value", "c.n", "t.start", "t.total", "t.size",
+        )
         .withColumn("upto", F.col("start") + F.sum("n").over(by_value))
     )
-    picked = []
-    for name, (column, p, kind) in wanted.items():
+
+    def value_at(rank: Column, column: str) -> Column:
         mine = F.col("m") == columns.index(column)
+        hit = (rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto"))
+        return F.max(F.when(mine & hit, F.col("value")))
+
+    picked = [F.max("size").alias(rows_as)] if rows_as else []
+    for name, (column, p, kind) in wanted.items():
         low, high = _ranks(p, kind)
-        at = lambda rank: F.max(
-            F.when(mine & (rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto")), F.col("value"))
-        )
-        lo, hi = at(low), at(high)
         if kind == DISCRETE:
-            picked.append(lo.alias(name))
+            picked.append(value_at(low, column).alias(name))
         else:
+            lo, hi = value_at(low, column), value_at(high, column)
+            mine = F.col("m") == columns.index(column)
             place = (F.max(F.when(mine, F.col("total"))) - 1) * F.lit(p)
             picked.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
     return ranked.groupBy(*by).agg(*picked)
 
 
 def with_quantiles(groups: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
-    """Quantiles joined onto all groups; groups without values get NULL."""
+    """Quantiles joined onto groups that were counted separately."""
     names = [c for c in found.columns if c not in by]
     g, f = groups.alias("g"), found.alias("f")
     return g.join(f, null_safe("g", "f", by), "left").select("g.*", *[F.col(f"f.{n}").alias(n) for n in names])

@@ -15,40 +15,34 @@ class Load(NamedTuple):
     problems: DataFrame
 
 
-def problems_in(spark: SparkSession, folder: str, run_date: str | None = None) -> DataFrame:
-    ledger = landing.read_ledger(spark, folder, run_date)
+def problems_in(spark: SparkSession, folder: str, *days: str) -> DataFrame:
+    """What keeps the landed days from being whole."""
+    ledger = landing.read_ledger(spark, folder, *days)
     return gate.day_problems(
-        landing.page_counts(landing.read_pages(spark, folder, run_date)),
+        landing.page_counts(landing.read_pages(spark, folder, *days)),
         landing.expected_pairs(ledger),
         landing.pair_states(ledger),
         landing.ledger_days(ledger),
     )
 
 
-def admitted_rows(
-    spark: SparkSession, folder: str, run_date: str | None = None, allow_incomplete: bool = False
-) -> DataFrame:
-    rows = landing.flatten_pages(landing.read_pages(spark, folder, run_date))
-    if allow_incomplete:
-        return rows
-    return gate.admit(rows, problems_in(spark, folder, run_date))
-
-
 def load_days(
     spark: SparkSession,
     folder: str,
-    run_date: str | None = None,
+    *days: str,
     allow_incomplete: bool = False,
     table: str = warehouse.RAW_TABLE,
 ) -> Load:
-    """Replace every whole day of the landing folder in the raw table.
+    """Replace every whole day of the landing folder (or of ``days``) in the raw table.
 
-    Returns a summary of what was loaded and the problems of the days that
-    were left out. Loading the same folder twice changes nothing.
+    Returns a summary of what was loaded and the problems that were found.
+    Loading the same folder twice changes nothing.
     """
     warehouse.ensure_layers(spark)
     warehouse.ensure_partitioned(spark, table)
     warehouse.create_raw_table(spark, table)
-    rows = admitted_rows(spark, folder, run_date, allow_incomplete)
+    problems = warehouse.stored(problems_in(spark, folder, *days))
+    flat = landing.flatten_pages(landing.read_pages(spark, folder, *days))
+    rows = gate.admit(flat, problems, allow_incomplete)
     warehouse.replace_days(rows, table)
-    return Load(gate.load_summary(rows), problems_in(spark, folder, run_date))
+    return Load(gate.load_summary(rows), problems)

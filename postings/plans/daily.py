@@ -41,9 +41,9 @@ def build(spark: SparkSession, raw_table: str = warehouse.RAW_TABLE) -> DataFram
 
 
 def run_day(
-    spark: SparkSession, folder: str, run_date: str | None = None, allow_incomplete: bool = False
+    spark: SparkSession, folder: str, *days: str, allow_incomplete: bool = False
 ) -> bronze.Load:
     """Load, rebuild and test; raises when a data test fails."""
-    loaded = bronze.load_days(spark, folder, run_date, allow_incomplete)
+    loaded = bronze.load_days(spark, folder, *days, allow_incomplete=allow_incomplete)
     enforce(build(spark))
     return loaded

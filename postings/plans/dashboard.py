@@ -73,19 +73,15 @@ def cities(bi: DataFrame) -> DataFrame:
 def salary_matrix(bi: DataFrame, by_day: bool = False) -> DataFrame:
     """Quartiles of the disclosed mid salary of open ads by country and role."""
     by = (["observed_on"] if by_day else []) + ["country_name", "role_name"]
-    shown = bi.where(is_open() & F.col("is_salary_disclosed"))
-    return with_quantiles(
-        shown.groupBy(*by).agg(F.count("*").alias("n")),
-        quantiles(
-            shown,
-            by,
-            {
-                "salary_mid_p25": ("salary_mid", 0.25, DISCRETE),
-                "salary_mid_p50": ("salary_mid", 0.5, CONTINUOUS),
-                "salary_mid_p75": ("salary_mid", 0.75, DISCRETE),
-            },
-        ),
+    return quantiles(
+        bi.where(is_open() & F.col("is_salary_disclosed")),
         by,
+        {
+            "salary_mid_p25": ("salary_mid", 0.25, DISCRETE),
+            "salary_mid_p50": ("salary_mid", 0.5, CONTINUOUS),
+            "salary_mid_p75": ("salary_mid", 0.75, DISCRETE),
+        },
+        rows_as="n",
     )
 
 
@@ -115,13 +111,17 @@ def week_growth(bi: DataFrame, top: int = 10, days_of: DataFrame | None = None)
 def longest_open(bi: DataFrame, top: int = 10, days_of: DataFrame | None = None) -> DataFrame:
     """Companies whose ads of the latest day have been open longest."""
     now = latest(bi, "observed_on", days_of).where(is_open() & F.col("company_name").isNotNull())
-    by = ["company_name"]
+    found = quantiles(
+        now,
+        ["company_name"],
+        {
+            "days_open_max": ("days_open", 1.0, DISCRETE),
+            "days_open_p50": ("days_open", 0.5, CONTINUOUS),
+        },
+        rows_as="n_ads",
+    )
     return (
-        with_quantiles(
-            now.groupBy(*by).agg(F.max("days_open").alias("days_open_max"), F.count("*").alias("n_ads")),
-            quantiles(now, by, {"days_open_p50": ("days_open", 0.5, CONTINUOUS)}),
-            by,
-        )
+        found.withColumn("days_open_max", F.col("days_open_max").cast("int"))
         .orderBy(F.desc("days_open_max"), F.desc("days_open_p50"), "company_name")
         .limit(top)
     )

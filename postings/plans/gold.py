@@ -17,6 +17,7 @@ from postings.functions import (
 from postings.operators.history import as_of, scd2
 from postings.operators.measures import measures
 from postings.operators.quantiles import CONTINUOUS, DISCRETE, quantiles, with_quantiles
+from postings.operators.sizing import measured_small
 from postings.operators.snapshot import latest
 from postings.plans import silver
 
@@ -158,23 +159,20 @@ def city_daily(facts: DataFrame) -> DataFrame:
 def salary_daily(facts: DataFrame, countries: DataFrame, approx: bool = False) -> DataFrame:
     """Counts, medians and quartiles of disclosed salaries, one currency per row."""
     by = ["observed_on", "country_code", "role_key", "currency"]
-    charted = F.broadcast(countries.where("show_salary").select("country_code", "currency"))
+    charted = measured_small(countries.where("show_salary").select("country_code", "currency"))
     shown = facts.where(F.col("is_relevant") & open_disclosed()).join(charted, "country_code")
-    return with_quantiles(
-        shown.groupBy(*by).agg(F.count("*").alias("n_disclosed")),
-        quantiles(
-            shown,
-            by,
-            {
-                "salary_mid_p50": ("salary_mid", 0.5, CONTINUOUS),
-                "salary_mid_p25": ("salary_mid", 0.25, DISCRETE),
-                "salary_mid_p75": ("salary_mid", 0.75, DISCRETE),
-                "salary_min_p50": ("salary_min", 0.5, CONTINUOUS),
-                "salary_max_p50": ("salary_max", 0.5, CONTINUOUS),
-            },
-            approx,
-        ),
+    return quantiles(
+        shown,
         by,
+        {
+            "salary_mid_p50": ("salary_mid", 0.5, CONTINUOUS),
+            "salary_mid_p25": ("salary_mid", 0.25, DISCRETE),
+            "salary_mid_p75": ("salary_mid", 0.75, DISCRETE),
+            "salary_min_p50": ("salary_min", 0.5, CONTINUOUS),
+            "salary_max_p50": ("salary_max", 0.5, CONTINUOUS),
+        },
+        rows_as="n_disclosed",
+        approx=approx,
     )
 
 
@@ -222,8 +220,8 @@ def bi_table(facts: DataFrame, countries: DataFrame, roles: DataFrame) -> DataFr
     """Flat table for dashboards: relevant rows with labels and the city group."""
     labelled = (
         facts.where("is_relevant")
-        .join(F.broadcast(countries), "country_code", "left")
-        .join(F.broadcast(roles), "role_key", "left")
+        .join(measured_small(countries), "country_code", "left")
+        .join(measured_small(roles), "role_key", "left")
     )
     return labelled.select(
         "observed_on", "source_id", "position_id", "country_code", "country_name",

@@ -9,31 +9,30 @@ from postings import fixed
 from postings.functions import city_of, region_of, stripped_or_null
 
 
-def read_pages(spark: SparkSession, folder: str, run_date: str | None = None) -> DataFrame:
+def read_pages(spark: SparkSession, folder: str, *days: str) -> DataFrame:
     """Page envelopes, one document per file, with their file name.
 
     The schema is explicit, so nothing is inferred; small files are packed
-    into scan tasks by Spark. ``run_date`` restricts the listing to the files
-    of that day.
+    into scan tasks by Spark. ``days`` restrict the listing to their files.
     """
-    names = fixed.PAGE_FILES if run_date is None else fixed.PAGE_FILES_OF_DAY.format(day=run_date)
-    return (
-        spark.read.schema(fixed.ENVELOPE_SCHEMA)
-        .option("multiLine", True)
-        .option("pathGlobFilter", names)
-        .json(folder)
-        .select("_meta", "payload", F.col("_metadata.file_name").alias("source_file"))
+    return _documents(spark, folder, fixed.ENVELOPE_SCHEMA, _names("raw", "_*", days)).select(
+        "_meta", "payload", F.col("_metadata.file_name").alias("source_file")
     )
 
 
-def read_ledger(spark: SparkSession, folder: str, run_date: str | None = None) -> DataFrame:
-    names = fixed.LEDGER_FILES if run_date is None else fixed.LEDGER_FILE_OF_DAY.format(day=run_date)
-    return (
-        spark.read.schema(fixed.LEDGER_SCHEMA)
-        .option("multiLine", True)
-        .option("pathGlobFilter", names)
-        .json(folder)
-    )
+def read_ledger(spark: SparkSession, folder: str, *days: str) -> DataFrame:
+    return _documents(spark, folder, fixed.LEDGER_SCHEMA, _names("status", "", days))
+
+
+def _names(kind: str, rest: str, days: tuple[str, ...]) -> str:
+    """Glob over the landed file names of a kind, for all days or the given ones."""
+    of_days = "{" + ",".join(days) + "}" + rest if days else "*"
+    return f"{kind}_{of_days}.json"
+
+
+def _documents(spark: SparkSession, folder: str, schema: str, names: str) -> DataFrame:
+    reader = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", names)
+    return reader.json(folder)
 
 
 def ledger_days(ledger: DataFrame) -> DataFrame:
@@ -56,46 +55,46 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per ad occurrence in the raw layout; pages without results give none.
 
     Ads keep arriving with missing and extra keys, so each stays a VARIANT and
-    only known paths are read; a missing key is NULL.
+    its known fields are taken in one lenient cast: a missing key, or a value
+    of another kind, is NULL.
     """
     ads = pages.select("source_file", "_meta", F.explode("payload.results").alias("ad"))
-
-    def at(path: str, kind: str = "string"):
-        return F.try_variant_get("ad", f"$.{path}", kind)
-
-    area = F.coalesce(at("location.area", "array<string>"), F.array().cast("array<string>"))
     rows = ads.select(
+        "source_file",
+        "_meta",
+        F.try_variant_get("ad", "$", fixed.AD_TYPE).alias("a"),
+        F.to_json("ad").alias("vacancy_json"),
+    ).withColumn("area", F.coalesce("a.location.area", F.array().cast("array<string>")))
+    return rows.select(
         "source_file",
         F.col("_meta.run_date").cast("date").alias("run_date"),
         F.col("_meta.extracted_at").try_cast("timestamp").alias("extracted_at"),
-        *[
-            F.col(f"_meta.{c}").alias(c)
-            for c in ("country", "role_query", "page", "results_per_page", "max_days_old", "count_reported")
-        ],
-        at("id").alias("source_id"),
-        at("title").alias("title"),
-        at("description").alias("description"),
-        at("created").try_cast("timestamp").alias("posted_at"),
-        stripped_or_null(at("company.display_name")).alias("company_name"),
-        at("salary_min", "double").alias("salary_min"),
-        at("salary_max", "double").alias("salary_max"),
-        at("salary_is_predicted").alias("salary_is_predicted"),
-        at("contract_type").alias("contract_type"),
-        at("contract_time").alias("contract_time"),
-        at("location.display_name").alias("location_display_name"),
-        area.alias("area"),
-        at("latitude", "double").alias("latitude"),
-        at("longitude", "double").alias("longitude"),
-        at("category.tag").alias("category_tag"),
-        at("category.label").alias("category_label"),
-        at("redirect_url").alias("redirect_url"),
-        F.to_json("ad").alias("vacancy_json"),
-    )
-    return (
-        rows.withColumn("location_region", region_of("area"))
-        .withColumn("location_city", city_of("area"))
-        .withColumn("location_area_json", F.to_json("area"))
-        .select(*[F.col(n).cast(t).alias(n) for n, t in fixed.RAW_COLUMNS])
+        "_meta.country",
+        "_meta.role_query",
+        "_meta.page",
+        "_meta.results_per_page",
+        "_meta.max_days_old",
+        "_meta.count_reported",
+        F.col("a.id").alias("source_id"),
+        "a.title",
+        "a.description",
+        F.col("a.created").try_cast("timestamp").alias("posted_at"),
+        stripped_or_null("a.company.display_name").alias("company_name"),
+        "a.salary_min",
+        "a.salary_max",
+        "a.salary_is_predicted",
+        "a.contract_type",
+        "a.contract_time",
+        F.col("a.location.display_name").alias("location_display_name"),
+        region_of("area").alias("location_region"),
+        city_of("area").alias("location_city"),
+        F.to_json("area").alias("location_area_json"),
+        "a.latitude",
+        "a.longitude",
+        F.col("a.category.tag").alias("category_tag"),
+        F.col("a.category.label").alias("category_label"),
+        "a.redirect_url",
+        "vacancy_json",
     )
 
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +73,35 @@ def save_table(df: DataFrame, table: str, by: str | None = None) -> DataFrame:
     return df.sparkSession.table(table)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once and read back, for plans that read it several times.
+
+    The files go to the shared folder named by ``spark.checkpoint.dir``, so a
+    lost executor costs a read, not a recomputation, and the columns stay
+    prunable. Cleaning that folder is up to its owner.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    """Stand-in for the shared folder on a single machine; gone when the process ends."""
+    folder = tempfile.mkdtemp(prefix="postings-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def save_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from postings.operators import gate, presence
 from postings.operators.snapshot import latest_day
 from postings.plans import checks, dashboard, gold, reports, silver
 from postings.sources import landing
+from postings.sources.warehouse import stored
 from verification.observations import envelopes, pages, raw_rows, table
 
 # the events name their own five search queries, and their pages count as full with six rows
@@ -68,15 +70,29 @@ class Layers:
     def roles(self) -> DataFrame:
         return gold.dim_role(self.spark)
 
+    # plans that read a layer several times read it stored, as the daily job does
+
+    @cached_property
+    def stored_ads(self) -> DataFrame:
+        return stored(self.ads)
+
+    @cached_property
+    def stored_facts(self) -> DataFrame:
+        return stored(self.facts)
+
+    @property
+    def stored_bi(self) -> DataFrame:
+        return gold.bi_table(self.stored_facts, self.countries, self.roles)
+
     @property
     def bi(self) -> DataFrame:
         return gold.bi_table(self.facts, self.countries, self.roles)
 
     # the collection side: pages, and a ledger kept on even days only
 
-    @property
+    @cached_property
     def pages(self) -> DataFrame:
-        return pages(self.raw)
+        return stored(pages(self.raw))
 
     @property
     def by_pages(self) -> DataFrame:
@@ -291,7 +307,7 @@ def fact(x: Layers) -> DataFrame:
 
 @query
 def asof_fact(x: Layers) -> DataFrame:
-    return gold.fact_by_join(x.daily, x.versions)
+    return gold.fact_by_join(silver.daily(x.stored_ads), gold.dim_vacancy(x.stored_ads))
 
 
 # --- dimensions --------------------------------------------------------------------------
@@ -347,7 +363,7 @@ def salary_disclosure(x: Layers) -> DataFrame:
 
 @query
 def company_role_latest(x: Layers) -> DataFrame:
-    return gold.company_role(x.facts, days_of=x.staged)
+    return gold.company_role(x.stored_facts)
 
 
 @query
@@ -459,8 +475,10 @@ def volume_anomaly(x: Layers) -> DataFrame:
 
 @query
 def dq_results(x: Layers) -> DataFrame:
+    ads = x.stored_ads
+    facts = stored(gold.fact(ads))
     return checks.run(
-        x.staged, x.ads, x.facts, x.versions, gold.dim_company(x.ads), x.countries, x.roles
+        x.staged, ads, facts, gold.dim_vacancy(ads), gold.dim_company(ads), x.countries, x.roles
     )
 
 
@@ -508,7 +526,7 @@ def salary_matrix_by_day(x: Layers) -> DataFrame:
 
 @query
 def company_life(x: Layers) -> DataFrame:
-    return dashboard.company_life(x.bi)
+    return dashboard.company_life(x.stored_bi)
 
 
 @query
