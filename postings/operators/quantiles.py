@@ -118,6 +118,7 @@ def _ranks(p: float, kind: str) -> tuple[Column, Column]:
 
 
 def _bucket(value: Column) -> Column:
-    """A coarse code that never decreases as the value grows; NaN sorts last, as in Spark."""
+    """A coarse code that never decreases as the value grows; NaN sorts last, NULL stays NULL."""
     size = F.least(F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_E_FOLD), F.lit(1 << 40))
-    return F.when(F.isnan(value), F.lit(1 << 41)).when(value < 0, -size).otherwise(size)
+    signed = F.when(F.isnan(value), F.lit(1 << 41)).when(value < 0, -size).otherwise(size)
+    return F.when(value.isNotNull(), signed)
