@@ -35,11 +35,12 @@ def load_arrivals(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        # at most one day per file of the batch
+        # at most one day per file of the batch; loaded in the caller's session, which
+        # then sees the replaced files of the table
         days = local_copy(batch.distinct(), files_per_batch)
         touched = sorted(row.run_date for row in days.collect())
         if touched:
-            load_days(batch.sparkSession, folder, *touched, table=table)
+            load_days(spark, folder, *touched, table=table)
 
     return (
         arriving.writeStream.foreachBatch(load)
