@@ -132,7 +132,7 @@ ENVELOPE_SCHEMA = """
         role_query: STRING, page: INT, results_per_page: INT, max_days_old: INT,
         count_reported: INT, request_url: STRING,
         response_headers: MAP<STRING, STRING>>,
-    payload STRUCT<count: INT, results: ARRAY<VARIANT>>
+    payload STRUCT<count: INT, results: ARRAY<STRING>>
 """
 
 AD_TYPE = """STRUCT<
@@ -140,8 +140,8 @@ AD_TYPE = """STRUCT<
     company: STRUCT<display_name: STRING>,
     category: STRUCT<tag: STRING, label: STRING>,
     location: STRUCT<display_name: STRING, area: ARRAY<STRING>>,
-    latitude: DOUBLE, longitude: DOUBLE,
-    salary_min: DOUBLE, salary_max: DOUBLE, salary_is_predicted: STRING,
+    latitude: STRING, longitude: STRING,
+    salary_min: STRING, salary_max: STRING, salary_is_predicted: STRING,
     contract_type: STRING, contract_time: STRING, redirect_url: STRING>"""
 
 LEDGER_SCHEMA = """

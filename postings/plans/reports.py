@@ -106,12 +106,14 @@ def term_coverage(rows: DataFrame, text: str, terms: list[str] = fixed.TECHNOLOG
 
     One pass: a counter per term and task, no row per hit.
     """
-    searched = rows.select(folded(text).alias("text"))
-    hits = [F.col("text").contains(t) for t in terms]
+    names = [f"hit_{i}" for i in range(len(terms))]
+    searched = rows.select(folded(text).alias("text")).select(
+        *[F.col("text").contains(t).alias(n) for n, t in zip(names, terms)]
+    )
     counted = searched.agg(
         F.count("*").alias("total"),
-        F.count_if(_any(hits)).alias("n_any"),
-        *[F.count_if(hit).alias(f"n_{i}") for i, hit in enumerate(hits)],
+        F.count_if(F.greatest(*names)).alias("n_any"),
+        *[F.count_if(n).alias(f"n_{i}") for i, n in enumerate(names)],
     )
     lines = F.array(
         F.struct(F.lit(None).cast("string").alias("term"), F.col("n_any").alias("n")),
@@ -125,13 +127,6 @@ def term_coverage(rows: DataFrame, text: str, terms: list[str] = fixed.TECHNOLOG
     )
 
 
-def _any(conditions: list[Column]) -> Column:
-    found = conditions[0]
-    for c in conditions[1:]:
-        found = found | c
-    return found
-
-
 def quota_headers(pages: DataFrame) -> DataFrame:
     """Quota-like response headers of the first page file."""
     first = pages.agg(F.min_by("_meta.response_headers", "source_file").alias("headers"))

@@ -54,17 +54,14 @@ def pair_states(ledger: DataFrame) -> DataFrame:
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """One row per ad occurrence in the raw layout; pages without results give none.
 
-    Ads keep arriving with missing and extra keys, so each stays a VARIANT and
-    its known fields are taken in one lenient cast: a missing key, or a value
-    of another kind, is NULL.
+    Ads keep arriving with missing and extra keys, so the scan hands each over
+    as its own JSON text. That text is kept as it came, and the known fields are
+    parsed from it in one step: a missing key, or a value of another kind, is NULL.
     """
-    ads = pages.select("source_file", "_meta", F.explode("payload.results").alias("ad"))
-    rows = ads.select(
-        "source_file",
-        "_meta",
-        F.try_variant_get("ad", "$", fixed.AD_TYPE).alias("a"),
-        F.to_json("ad").alias("vacancy_json"),
-    ).withColumn("area", F.coalesce("a.location.area", F.array().cast("array<string>")))
+    ads = pages.select(
+        "source_file", "_meta", F.explode("payload.results").alias("vacancy_json")
+    )
+    rows = ads.withColumn("a", F.from_json("vacancy_json", fixed.AD_TYPE)).withColumn("area", F.coalesce("a.location.area", F.array().cast("array<string>")))
     return rows.select(
         "source_file",
         F.col("_meta.run_date").cast("date").alias("run_date"),
@@ -80,8 +77,8 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
         "a.description",
         F.col("a.created").try_cast("timestamp").alias("posted_at"),
         stripped_or_null("a.company.display_name").alias("company_name"),
-        "a.salary_min",
-        "a.salary_max",
+        F.col("a.salary_min").try_cast("double").alias("salary_min"),
+        F.col("a.salary_max").try_cast("double").alias("salary_max"),
         "a.salary_is_predicted",
         "a.contract_type",
         "a.contract_time",
@@ -89,8 +86,8 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
         region_of("area").alias("location_region"),
         city_of("area").alias("location_city"),
         F.to_json("area").alias("location_area_json"),
-        "a.latitude",
-        "a.longitude",
+        F.col("a.latitude").try_cast("double").alias("latitude"),
+        F.col("a.longitude").try_cast("double").alias("longitude"),
         F.col("a.category.tag").alias("category_tag"),
         F.col("a.category.label").alias("category_label"),
         "a.redirect_url",

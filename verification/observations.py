@@ -127,7 +127,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("_meta"),
         F.struct(
             F.size("ads").alias("count"),
-            F.transform("ads", lambda text: F.parse_json(text)).alias("results"),
+            F.col("ads").alias("results"),
         ).alias("payload"),
         "source_file",
     )
