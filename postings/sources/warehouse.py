@@ -37,18 +37,23 @@ def is_partitioned(spark: SparkSession, table: str, by: str = "run_date") -> boo
 
 
 def ensure_partitioned(spark: SparkSession, table: str = RAW_TABLE, by: str = "run_date") -> bool:
-    """Rebuild an unpartitioned table by day and put it in its place; True when rebuilt.
+    """Rebuild an unpartitioned table by day and swap its location; True when rebuilt.
 
     The rows are written beside the old table first, and the old one is dropped
-    only when the new one is complete.
+    only when the new files are complete.
     """
     if not spark.catalog.tableExists(table) or is_partitioned(spark, table, by):
         return False
-    beside = f"{table}_by_{by}"
-    spark.sql(f"DROP TABLE IF EXISTS {beside}")
-    spark.table(table).hint("rebalance", by).write.partitionBy(by).saveAsTable(beside)
+    old = spark.table(table)
+    layer, name = table.split(".")
+    path = f"{spark.catalog.getDatabase(layer).locationUri}/{name}_by_{by}_{uuid.uuid4().hex}"
+    old.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in old.schema)
     spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
     return True
 
 

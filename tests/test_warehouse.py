@@ -1,4 +1,6 @@
+import os
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,13 +65,15 @@ def test_stored_reads_back_the_same(spark, rows):
     assert rows(again) == rows(df) and again.schema.names == df.schema.names
 
 
-def test_stored_uses_the_folder_of_the_session(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        again = warehouse.stored(raw(spark, (1, "a")))
-        assert all(str(tmp_path) in f for f in again.inputFiles())
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_the_shared_folder_comes_from_the_session():
+    def fake(settings, master):
+        return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+
+    named = {"spark.checkpoint.dir": "s3a://shared/points/"}
+    assert warehouse._shared_folder(fake(named, "yarn")) == "s3a://shared/points"
+    assert os.path.isdir(warehouse._shared_folder(fake({}, "local[2]")))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        warehouse._shared_folder(fake({}, "yarn"))
 
 
 def test_data_tests(table, rows):
