@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from postings.operators import gate
+from postings.operators.sizing import local_copy
 from postings.sources import landing, warehouse
 
 
 class Load(NamedTuple):
+    days: list[date]
     summary: DataFrame
     problems: DataFrame
 
 
-def problems_in(spark: SparkSession, folder: str, *days: str) -> DataFrame:
-    """What keeps the landed days from being whole."""
+def problems_in(spark: SparkSession, folder: str, pages: DataFrame, *days: str) -> DataFrame:
+    """What keeps the landed days from being whole; ``pages`` are their page counts."""
     ledger = landing.read_ledger(spark, folder, *days)
     return gate.day_problems(
-        landing.page_counts(landing.read_pages(spark, folder, *days)),
+        pages,
         landing.expected_pairs(ledger),
         landing.pair_states(ledger),
         landing.ledger_days(ledger),
@@ -35,14 +39,21 @@ def load_days(
 ) -> Load:
     """Replace every whole day of the landing folder (or of ``days``) in the raw table.
 
-    Returns a summary of what was loaded and the problems that were found.
-    Loading the same folder twice changes nothing.
+    Returns the days that were loaded, their summary as stored, and the
+    problems that were found. Loading the same folder twice changes nothing.
+    The page counts and problems, one row per page and pair, are written once;
+    the ads themselves are parsed once.
     """
     warehouse.ensure_layers(spark)
     warehouse.ensure_partitioned(spark, table)
     warehouse.create_raw_table(spark, table)
-    problems = warehouse.stored(problems_in(spark, folder, *days))
+    pages = warehouse.stored(landing.page_counts(landing.read_pages(spark, folder, *days)))
+    problems = warehouse.stored(problems_in(spark, folder, pages, *days))
+
     flat = landing.flatten_pages(landing.read_pages(spark, folder, *days))
-    rows = gate.admit(flat, problems, allow_incomplete)
-    warehouse.replace_days(rows, table)
-    return Load(gate.load_summary(rows), problems)
+    warehouse.replace_days(gate.admit(flat, problems, allow_incomplete), table)
+
+    landed = pages.where("n > 0").select("run_date").distinct()
+    loaded = sorted(r.run_date for r in local_copy(gate.admit(landed, problems, allow_incomplete)).collect())
+    kept = spark.table(table).where(F.col("run_date").isin(loaded))
+    return Load(loaded, gate.load_summary(kept), problems)

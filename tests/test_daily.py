@@ -34,6 +34,7 @@ def folder(tmp_path):
 def clean(spark):
     warehouse.ensure_layers(spark)
     spark.sql(f"DROP TABLE IF EXISTS {warehouse.RAW_TABLE}")
+    spark.sql(f"DROP TABLE IF EXISTS {daily.ADS}")
 
 
 def days(spark):
@@ -61,6 +62,18 @@ def test_load_build_and_test(spark, folder, clean, rows):
         assert spark.table(f"marts.{name}").count() > 0, name
 
 
+def test_refreshing_changed_days_equals_a_full_rebuild(spark, folder, clean, rows):
+    daily.run_day(spark, str(folder))
+    put(folder, "2026-09-02", "gb", "data engineer", 1, [ad("A"), ad("N", "ML Engineer")], count=2)
+    put(folder, "2026-09-04", "gb", "data engineer", 1, [ad("N")], count=1)
+    loaded = daily.run_day(spark, str(folder), "2026-09-02", "2026-09-04")
+    assert [d.day for d in loaded.days] == [2, 4]
+    assert loaded.summary.first().rows == 3
+    refreshed = rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily"))
+    daily.build(spark)
+    assert refreshed == (rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily")))
+
+
 def test_loading_twice_is_loading_once(spark, folder, clean):
     bronze.load_days(spark, str(folder))
     once = days(spark)
