@@ -63,7 +63,7 @@ def raw_rows(spark: SparkSession, sf_dir: str, page: str = "1 + event_id % 3") -
         "country",
         "role_query",
         "page",
-        "cast(NULL AS int) AS count_reported",
+        "50 * page AS count_reported",
         "if(value >= 0.5, cast(u AS string), NULL) AS source_id",
         f"concat('  ', element_at({_listed(TITLES)}, cast(1 + (u + (dd - 1) div 10) % 16 AS int)), ' ') AS title",
         f"try_element_at({_listed(DESCRIPTIONS)}, cast(1 + u % 5 AS int)) AS description",
@@ -103,6 +103,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("location_display_name").alias("display_name"),
             F.array_compact(F.array("country", "location_region", "location_city")).alias("area"),
         ).alias("location"),
+        F.struct(F.lit("it-jobs").alias("tag"), F.lit("IT Jobs").alias("label")).alias("category"),
         "latitude", "longitude", "salary_min", "salary_max", "salary_is_predicted",
         "contract_type", "contract_time", "redirect_url",
     ))

@@ -52,7 +52,7 @@ def _raw(page: str) -> str:
         'raw_' || run_date || '_' || country || '_' || replace(event_type, ' ', '-') || '_p' || pg || '.json'
             AS source_file,
         run_date, ts AS extracted_at, country, event_type AS role_query, pg AS page,
-        CAST(NULL AS INTEGER) AS count_reported,
+        50 * pg AS count_reported,
         CASE WHEN value >= 0.5 THEN CAST(u AS VARCHAR) END AS source_id,
         '  ' || ({_text_list(TITLES)})[1 + (u + (dd - 1) // 10) % 16] || ' ' AS title,
         ({_text_list(DESCRIPTIONS)})[CASE WHEN u % 5 < 4 THEN 1 + u % 5 END] AS description,
@@ -353,7 +353,7 @@ BODIES = {
                location_display_name, location_region, coalesce(location_city, location_region) AS location_city,
                CASE WHEN location_city IS NULL THEN format('["{}","{}"]', country, location_region)
                     ELSE format('["{}","{}","{}"]', country, location_region, location_city) END AS location_area_json,
-               latitude, longitude, CAST(NULL AS VARCHAR) AS category_tag, CAST(NULL AS VARCHAR) AS category_label,
+               latitude, longitude, 'it-jobs' AS category_tag, 'IT Jobs' AS category_label,
                redirect_url, source_id AS id_in_text
         FROM page_rows""",
     "quota_headers": "SELECT 'X-RateLimit-Limit' AS name, '300' AS value FROM events LIMIT 1",
