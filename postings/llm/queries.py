@@ -6,11 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import mixing
+from postings.llm import mixing, quality_classifier, toxicity
+from postings.llm.shipping import ship
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +31,8 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op6_toxicity": op6_toxicity,
     "op8_mixture": op8_mixture,
 }
 
