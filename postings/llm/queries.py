@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import mixing, quality_classifier, toxicity
+from postings.llm import mixing, quality_classifier, token_codes, toxicity
 from postings.llm.shipping import ship
+from postings.sources.warehouse import stored
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op4_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = token_codes.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_codes.decode(stored(blocks))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -32,6 +39,7 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op4_token_codes": op4_token_codes,
     "op6_toxicity": op6_toxicity,
     "op8_mixture": op8_mixture,
 }
