@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import mixing, quality_classifier, token_codes, toxicity
+from postings.llm import jaccard_join, mixing, quality_classifier, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -29,6 +29,10 @@ def op4_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_codes.decode(stored(blocks))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -40,6 +44,7 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op4_token_codes": op4_token_codes,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op8_mixture": op8_mixture,
 }
