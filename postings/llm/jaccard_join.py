@@ -13,7 +13,7 @@ can matter.
    against all others of the column: no pair inside a component matters any more, and none
    across components is left out. A group of near copies thus costs its size times the few nodes left out.
 4. Rows meet in tiles: at most ``TILE`` nodes that share their lowest shingle, against a stream of other nodes.
-   Pairs whose sizes or 1024-bit maps bound the overlap below the threshold are discarded; for the rest
+   Pairs whose sizes or bit maps (two bits or more per shingle) bound the overlap below the threshold are discarded; for the rest
    the overlap is accumulated over the full sets, exactly.
 """
 
@@ -35,7 +35,6 @@ SIZE = 5
 FREQUENT = 100
 TILE = 512
 FLUSH = 4_000_000
-MAP_BITS = 1024
 FILTER_BITS = 24
 _U = np.uint64
 
@@ -53,37 +52,38 @@ def _least_overlap(a, b):
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, node) per document, and (gram, count) of shingles met in several nodes of a task."""
+    """(doc_id, n_shingles, node, map) per document, and (gram, count) of shingles met in several nodes of a task."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, met, n = [], set(), 0
-        names = ["doc_id", "n_shingles", "node", "gram", "count"]
+        names = ["doc_id", "n_shingles", "node", "map", "gram", "count"]
 
         def counts(id_type: pa.DataType) -> pa.RecordBatch:
             gram, times = np.unique(np.concatenate(held), return_counts=True)
             gram, times = gram[times > 1].view(np.int64), times[times > 1]
-            empty = [pa.nulls(len(gram), t) for t in (id_type, pa.int64(), pa.int64())]
+            empty = [pa.nulls(len(gram), t) for t in (id_type, pa.int64(), pa.int64(), pa.binary())]
             return pa.RecordBatch.from_arrays([*empty, pa.array(gram), pa.array(times)], names)
 
         for b in batches:
-            sizes, nodes = [], []
+            sizes, nodes, maps = [], [], []
             for s, node in _nodes(b.column(1), size):
                 sizes.append(len(s))
+                maps.append(_map(s) if len(s) else None)
                 nodes.append(node if len(s) else None)
                 if len(s) and node not in met:
                     met.add(node)
                     held.append(s)
                     n += len(s)
             empty = [pa.nulls(b.num_rows, pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *empty], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(maps, pa.binary()), *empty], names)
             if n >= FLUSH:
                 yield counts(b.column(0).type)
                 held, met, n = [], set(), 0
         if held:
             yield counts(b.column(0).type)
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, gram long, count long")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long, map binary, gram long, count long")
 
 
 def _entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int) -> DataFrame:
@@ -158,8 +158,8 @@ def _entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int
     return sent.mapInArrow(receive, "gram long, node long, n int")
 
 
-def _facts(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, map, grams) of the wanted nodes, and of few others: a fixed-size bit filter of the wanted ones goes to every task."""
+def _grams(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, payload) with the sets of the wanted nodes and of few others: a fixed-size bit filter of the wanted ones goes to every task."""
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << FILTER_BITS, bool)
         for b in batches:
@@ -178,29 +178,29 @@ def _facts(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             for s, node in _nodes(b.column(0), size):
                 if len(s) and node not in met and bits[int(mix(np.array([node], np.int64).view(np.uint64))[0] >> _U(64 - FILTER_BITS))]:
                     met.add(node)
-                    out.append((node, _map(s).tobytes(), s.tobytes()))
-            columns = [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "map", "grams"])
+                    out.append((node, s.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.binary()))], ["node", "payload"])
 
-    found = docs.select("text").mapInArrow(run, "node long, map binary, grams binary")
-    return found.join(nodes.select("node", "n", "tile"), "node").groupBy("node").agg(*[F.first(c).alias(c) for c in ("map", "grams", "n", "tile")])
+    return docs.select("text").mapInArrow(run, "node long, payload binary").groupBy("node").agg(F.first("payload").alias("payload"))
 
 
-def _map(s: np.ndarray) -> np.ndarray:
-    bits = np.zeros(MAP_BITS, bool)
-    bits[(s % _U(MAP_BITS)).astype(np.int64)] = True
-    return np.packbits(bits)
+def _map(s: np.ndarray) -> bytes:
+    """A bit per shingle; the number of bits is a power of two, so the map of a larger set folds onto a smaller map."""
+    size = max(256, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(s % _U(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _tiles(rows: DataFrame, others: DataFrame, facts: DataFrame, payload: str, labels: DataFrame | None, run: Callable, schema: str) -> DataFrame:
+def _tiles(rows: DataFrame, others: DataFrame, payload: DataFrame, labels: DataFrame | None, run: Callable, schema: str) -> DataFrame:
     """``run`` over each tile: its rows (role 0) first, then the other nodes (role 1) as they stream in."""
     d = rows.select("tile", F.lit(0).alias("role"), "node").union(others.select("tile", F.lit(1), "node"))
-    d = d.join(facts.select("node", "n", F.col(payload).alias("payload")), "node")
+    d = d.join(payload, "node")
     if labels is None:
         d = d.withColumn("component", F.col("node"))
     else:
         d = d.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    d = d.select("tile", "role", "node", "n", "component", "payload").repartition("tile").sortWithinPartitions("tile", "role")
+    d = d.select("tile", "role", "node", "component", "payload").repartition("tile").sortWithinPartitions("tile", "role")
     return d.mapInArrow(lambda batches: _streamed(batches, run), schema)
 
 
@@ -223,42 +223,56 @@ def _streamed(batches: Iterator[pa.RecordBatch], run: Callable) -> Iterator[pa.R
                     yield found
 
 
-def _arrays(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return tuple(np.asarray(part.column(c)).astype(np.int64) for c in ("node", "n", "component"))
+def _arrays(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    return np.asarray(part.column("node")), np.asarray(part.column("component")), [v.as_py() for v in part.column("payload")]
 
 
 def _by_map(tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch | None:
-    """Which nodes of both roles are in a pair that size and bit map do not rule out."""
-    (x, nx, cx), (y, ny, cy) = _arrays(rows), _arrays(others)
-    maps = [np.stack([np.frombuffer(v.as_py(), np.uint64) for v in p.column("payload")]) for p in (rows, others)]
+    """Which nodes of both roles are in a pair that size and bit map do not rule out; a payload is the size, then the map."""
+    (x, cx, px), (y, cy, py) = _arrays(rows), _arrays(others)
+    nx, ny = (np.array([int.from_bytes(v[:4], "little") for v in p]) for p in (px, py))
+    wx, wy = (np.array([(len(v) - 4) // 8 for v in p]) for p in (px, py))
     keep_x, keep_y = np.zeros(len(x), bool), np.zeros(len(y), bool)
-    for a in range(0, len(y), 256):
-        s = slice(a, a + 256)
-        need = _least_overlap(nx[:, None], ny[None, s])
-        ok = (need <= np.minimum(nx[:, None], ny[None, s])) & (cx[:, None] != cy[None, s])
-        i, j = np.nonzero(ok)
-        for c in range(0, len(i), 65536):
-            p, q = i[c:c + 65536], j[c:c + 65536] + a
-            left, right = maps[0][p], maps[1][q]
-            most = np.minimum(nx[p] - np.bitwise_count(left & ~right).sum(1, dtype=np.int64), ny[q] - np.bitwise_count(right & ~left).sum(1, dtype=np.int64))
-            good = most >= _least_overlap(nx[p], ny[q])
-            keep_x[p[good]] = True
-            keep_y[q[good]] = True
+    for words in np.unique(np.concatenate((wx, wy))):
+        # Sizes that fit have maps of equal length or of one and its double.
+        sides = [np.flatnonzero((w == words) | (w == 2 * words)) for w in (wx, wy)]
+        if not len(sides[0]) or not len(sides[1]):
+            continue
+        left, right = (np.stack([_folded(p[i], words) for i in side]) for p, side in zip((px, py), sides))
+        step = max(1, (1 << 22) // (8 * int(words)))
+        for a in range(0, len(sides[1]), 256):
+            xs, ys = sides[0], sides[1][a:a + 256]
+            fits = _least_overlap(nx[xs][:, None], ny[ys][None]) <= np.minimum(nx[xs][:, None], ny[ys][None])
+            fits &= (cx[xs][:, None] != cy[ys][None]) & (np.minimum(wx[xs][:, None], wy[ys][None]) == words)
+            i, j = np.nonzero(fits)
+            for c in range(0, len(i), step):
+                p, q = i[c:c + step], j[c:c + step]
+                l, r = left[p], right[q + a]
+                most = np.minimum(nx[xs[p]] - np.bitwise_count(l & ~r).sum(1, dtype=np.int64), ny[ys[q]] - np.bitwise_count(r & ~l).sum(1, dtype=np.int64))
+                good = most >= _least_overlap(nx[xs[p]], ny[ys[q]])
+                keep_x[xs[p[good]]] = True
+                keep_y[ys[q[good]]] = True
     nodes = np.concatenate((x[keep_x], y[keep_y]))
     roles = np.repeat([0, 1], [keep_x.sum(), keep_y.sum()])
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), tile)), pa.array(roles, pa.int32()), pa.array(nodes)], ["tile", "role", "node"])
 
 
+def _folded(payload: bytes, words: int) -> np.ndarray:
+    bits = np.frombuffer(payload, np.uint64, offset=4)
+    return bits if len(bits) == words else bits[:words] | bits[words:]
+
+
 def _by_overlap(tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch:
     """Links across components: the overlap of every row with every other node, accumulated shingle by shingle."""
-    (x, nx, cx), (y, ny, cy) = _arrays(rows), _arrays(others)
-    column = np.concatenate([np.frombuffer(v.as_py(), np.uint64) for v in rows.column("payload")])
+    (x, cx, px), (y, cy, py) = _arrays(rows), _arrays(others)
+    nx, ny = (np.array([len(v) // 8 for v in p]) for p in (px, py))
+    column = np.concatenate([np.frombuffer(v, np.uint64) for v in px])
     owner = np.repeat(np.arange(len(x)), nx)
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     out = []
-    for j, v in enumerate(others.column("payload")):
-        s = np.frombuffer(v.as_py(), np.uint64)
+    for j, v in enumerate(py):
+        s = np.frombuffer(v, np.uint64)
         a, b = np.searchsorted(column, s, "left"), np.searchsorted(column, s, "right")
         hit = b > a
         a, length = a[hit], (b - a)[hit]
@@ -274,11 +288,11 @@ def _by_overlap(tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.R
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _links(rows: DataFrame, others: DataFrame, facts: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Links between the rows and the other nodes of each tile."""
-    left = stored(_tiles(rows, others, facts, "map", labels, _by_map, "tile long, role int, node long"))
-    kept = left.distinct()
-    return stored(_tiles(kept.where("role = 0"), kept.where("role = 1"), facts, "grams", labels, _by_overlap, "a long, b long"))
+def _links(rows: DataFrame, others: DataFrame, maps: DataFrame, labels: DataFrame | None, docs: DataFrame, size: int) -> DataFrame:
+    """Links between the rows and the other nodes of each tile; only sets whose maps pass are made again from their texts."""
+    left = stored(_tiles(rows, others, maps, labels, _by_map, "tile long, role int, node long").distinct())
+    grams = _grams(docs, left, size)
+    return stored(_tiles(left.where("role = 0"), left.where("role = 1"), grams, labels, _by_overlap, "a long, b long"))
 
 
 def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -300,7 +314,10 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     split = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE).alias("parts"))
     tile = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts")))
     nodes = stored(homes.join(split, "home").select("node", "n", tile.alias("tile")))
-    facts = stored(_facts(docs, nodes, size))
+    # A map goes with its set's size in front, four bytes.
+    of_node = found.where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("map").alias("map"))
+    size_bytes = F.unhex(F.concat(*[F.lpad(F.hex(F.shiftright("n", 8 * k).bitwiseAND(255)), 2, "0") for k in range(4)]))
+    maps = stored(of_node.join(nodes.select("node"), "node", "left_semi").select("node", F.concat(size_bytes, F.col("map")).alias("payload")))
 
     # First product: each column's first node against the others of the column.
     def fits(n, m):
@@ -310,7 +327,7 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     pairs = stored(entries.join(lead, "gram").where((F.col("x") != F.col("node")) & fits("n", "m")).select("x", F.col("node")).distinct())
     tiles = nodes.select(F.col("node").alias("x"), "tile")
     first = pairs.join(tiles, "x").select("tile", "x", "node")
-    links = _links(first.select("tile", F.col("x").alias("node")).distinct(), first.select("tile", "node").distinct(), facts, None)
+    links = _links(first.select("tile", F.col("x").alias("node")).distinct(), first.select("tile", "node").distinct(), maps, None, docs, size)
     labels = stored(components(links))
 
     # Second product: what is outside each column's largest component against all of the column.
@@ -340,7 +357,7 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(tile_[new]), pa.array(node_[new])], ["tile", "node"])
 
     others = met.mapInArrow(once, "tile long, node long").distinct()
-    more = _links(outside.select("tile", "node").distinct(), others, facts, labels)
+    more = _links(outside.select("tile", "node").distinct(), others, maps, labels, docs, size)
     graph = stored(components(links.union(more)))
 
     smallest = members.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
