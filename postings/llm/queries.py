@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import jaccard_join, mixing, quality_classifier, token_codes, toxicity
+from postings.llm import jaccard_join, mixing, quality_classifier, quality_rules, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -24,6 +24,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(documents(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op4_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = token_codes.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return token_codes.decode(stored(blocks))
@@ -43,6 +48,7 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_quality_rules": op2_quality_rules,
     "op4_token_codes": op4_token_codes,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
