@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import jaccard_join, mixing, quality_classifier, quality_rules, token_codes, toxicity
+from postings.llm import fingerprints, jaccard_join, mixing, quality_classifier, quality_rules, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -46,6 +46,10 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("no_source", "source_key", "epochs")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op8_mixture": op8_mixture,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
