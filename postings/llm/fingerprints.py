@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 PARAGRAPH = r"[^\n]{200,}?[.!?](?=\s)|[^\n]+"
 #: Cells per third of a sketch, tried in this order; beyond, the digests are compared as sets.
-THIRDS = (8, 32, 128, 512, 2048, 8192, 32768)
+THIRDS = (16, 64, 256, 1024, 4096, 16384)
 ROUNDS = 40
 BLOCK_BYTES = 8 << 20
 MOST_BLOCKS = 1_000_000
@@ -37,7 +37,7 @@ def _zero(cell: str) -> str:
 
 def _folded(entries: str) -> str:
     """Entries of the same cell added up; empty cells go."""
-    return f"""aggregate(array_sort({entries}),
+    return f"""aggregate(sort_array({entries}),
         named_struct('done', cast(array() as array<{_CELL}>), 'cur', {_EMPTY}),
         (s, x) -> if(s.cur.i = x.i,
             named_struct('done', s.done, 'cur', named_struct('i', x.i, 'n', s.cur.n + x.n, 'k', s.cur.k ^ x.k, 'c', s.cur.c ^ x.c)),
