@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postings.llm import fingerprints, jaccard_join, mixing, quality_classifier, quality_rules, token_codes, toxicity
+from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, quality_classifier, quality_rules, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -29,6 +30,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
 
 
+def op3_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_scan.scan(documents(spark, sf_dir)).select(
+        "doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", " ").alias("sentence_ids"),
+        F.array_join("licences", " ").alias("licences"))
+
+
 def op4_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = token_codes.encode(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return token_codes.decode(stored(blocks))
@@ -53,6 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
+    "op3_licence_scan": op3_licence_scan,
     "op4_token_codes": op4_token_codes,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
@@ -61,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE = {
+    "op3_licence_scan": licence_scan.oracle(),
     # The water level is found by trying every set of bounded sources in the order of bound per weight.
     "op8_mixture": r"""
 WITH d AS (
