@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, quality_classifier, quality_rules, token_codes, toxicity
+from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, quality_classifier, quality_rules, suffix_dedup, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -53,6 +53,10 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("no_source", "source_key", "epochs")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(documents(spark, sf_dir))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(documents(spark, sf_dir))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op8_mixture": op8_mixture,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
 }
 
