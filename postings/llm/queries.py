@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, quality_classifier, quality_rules, suffix_dedup, token_codes, toxicity
+from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, piece_lattice, quality_classifier, quality_rules, suffix_dedup, token_codes, toxicity
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -49,6 +49,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op7_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.summary(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).drop("no_source", "source_key", "epochs")
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_codes": op4_token_codes,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
+    "op7_piece_lattice": op7_piece_lattice,
     "op8_mixture": op8_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
