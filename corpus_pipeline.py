@@ -2,14 +2,57 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postings.llm import jaccard_join, mixing, piece_lattice, quality_rules, suffix_dedup
+from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
-STAGES: list = []
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the robust distance reject go."""
+    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by word shingles the one with the smallest id stays; ids are unique."""
+    ship(spark)
+    heads = jaccard_join.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head"))
+    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_head")), "left_semi")
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of long strings that occur earlier are cut out of the texts; a text of which nothing is left goes."""
+    ship(spark)
+    return suffix_dedup.deduplicated(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights; a row is there once for each time it is taken."""
+    return mixing.mixture(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, ids, n_pieces, decoded_sha256) of every row of the mix, the last from the text decoded back."""
+    ship(spark)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    d = piece_lattice.decode(piece_lattice.encode(docs, path), path)
+    return d.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality_rules", rules),
+    ("jaccard_join", near_copies),
+    ("suffix_dedup", repeats),
+    ("mixture", mixture),
+    ("piece_lattice", pieces),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``; rows are written between stages to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

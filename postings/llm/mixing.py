@@ -107,15 +107,14 @@ def mixture(docs: DataFrame) -> DataFrame:
     A text cut short ends right after its last word taken. Rows are matched to their share by id, so ids must be unique;
     rows without words are in no mix.
     """
-    shares = mix(docs).where("taken > 0").select("doc_id", "size", "taken")
-    rows = docs.join(shares.withColumnRenamed("doc_id", "share_id"), F.col("doc_id").eqNullSafe(F.col("share_id")))
-    copies = F.expr("sequence(1, cast((taken + size - 1) div size as int))")
-    words = F.least(F.col("size"), F.col("taken") - (F.col("copy") - 1) * F.col("size"))
-    cut = words < F.col("size")
+    shares = mix(docs).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    rows = docs.join(shares, F.col("doc_id").eqNullSafe(F.col("_id")))
+    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
+    cut = words < F.col("_size")
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     head = F.array_join(F.slice(pieces, F.lit(1), words.cast("int")), "")
-    text = F.when(cut, head).otherwise(F.col("text"))
-    out = rows.withColumn("copy", F.explode(copies)).withColumn("text", text)
+    out = rows.withColumn("_copy", F.explode(F.expr("sequence(1, cast((_taken + _size - 1) div _size as int))")))
+    columns = {"text": F.when(cut, head).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        columns["n_chars"] = F.when(cut, F.length(head).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])

@@ -190,7 +190,7 @@ def robust_estimates(d: DataFrame, names: list[str], subset: float = SUBSET, ste
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the base statistics, base_failed, d2 and kept.
 
-    ``docs`` needs text, lang and source. NULL and empty texts fail the base rules; NULL lang or source are groups of
+    ``docs`` needs text, lang and source; its columns of the names added here are replaced. NULL and empty texts fail the base rules; NULL lang or source are groups of
     their own. Rows that fail the base rules take no part in the estimates. Where even the pooled rows are fewer than
     ``MIN_GROUP``, only the base rules decide. Repeated rows get equal verdicts. The texts are read once: rows with
     their statistics are written, and the verdict reads them back.

@@ -369,17 +369,18 @@ def spans(n_bytes: int, places: list[bytes] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def removals(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(columns, _n_bytes, _spans, _kept) of every row: the removed runs of bytes and what is left of the text's bytes.
+def removals(docs: DataFrame, columns: list[str] | None = None, as_text: bool = False) -> DataFrame:
+    """(columns, _n_bytes, _spans, _kept) of every row: the removed runs of bytes and what is left of the text's bytes,
+    or with ``as_text`` of its whole characters.
 
     NULL text counts as empty and loses nothing, nor does any text shorter than ``LENGTH`` bytes. Of equal texts the one
     with the smallest doc_id (NULL last) counts as first; rows equal in doc_id and text are one document. Different texts under one
-    doc_id are taken in order of their hash. ``columns`` are kept beside, by default doc_id alone.
+    doc_id are taken in order of their hash. ``columns`` are kept beside whatever their names, by default doc_id alone.
     """
     columns = columns or ["doc_id"]
     spark = docs.sparkSession
     blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = docs.withColumn("t", F.xxhash64(F.coalesce("text", F.lit(""))))
+    d = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(columns)], "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"))
     big = np.iinfo(np.int64).max
     ids = stored(d.select(F.col("doc_id").alias("id"), "t", F.octet_length(F.coalesce("text", F.lit(""))).alias("size")))
     firsts = ids.groupBy("t").agg(F.coalesce(F.min("id"), F.lit(big)).cast("long").alias("first"))
@@ -397,8 +398,8 @@ def removals(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     # Rows that are no first copy are covered whole; the first has the runs found.
     verdict = ids.distinct().join(firsts, "t").withColumn("copy", F.coalesce("id", F.lit(big)) > F.col("first"))
     verdict = stored(verdict.join(runs, "t", "left").select("id", F.col("t").alias("vt"), "copy", F.when(~F.col("copy"), F.col("places")).alias("places")))
-    rows = d.select(*columns, "text", F.col("doc_id").alias("_id"), "t").join(verdict, F.col("_id").eqNullSafe(F.col("id")) & (F.col("t") == F.col("vt")))
-    rows = rows.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(columns)], "text", "copy", "places")
+    rows = d.join(verdict, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("t") == F.col("vt")))
+    rows = rows.select(*[f"c_{i}" for i in range(len(columns))], "text", "copy", "places")
 
     schema = ", ".join(f"c_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(columns))
 
@@ -411,13 +412,14 @@ def removals(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
                 cuts = [0, *[x for pair in gone for x in pair], len(raw)]
                 sizes.append(len(raw))
                 removed.append([{"a": x, "b": y} for x, y in gone])
-                kept.append(b"".join(raw[x:y] for x, y in zip(cuts[::2], cuts[1::2])))
+                left = [raw[x:y] for x, y in zip(cuts[::2], cuts[1::2])]
+                kept.append("".join(x.decode("utf-8", "ignore") for x in left) if as_text else b"".join(left))
             kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in range(len(columns))], pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.binary())],
+                [*[b.column(i) for i in range(len(columns))], pa.array(sizes, pa.int64()), pa.array(removed, kind), pa.array(kept, pa.string() if as_text else pa.binary())],
                 [*[f"c_{i}" for i in range(len(columns))], "_n_bytes", "_spans", "_kept"])
 
-    done = rows.mapInArrow(cut, f"{schema}, _n_bytes long, _spans array<struct<a:long,b:long>>, _kept binary")
+    done = rows.mapInArrow(cut, f"{schema}, _n_bytes long, _spans array<struct<a:long,b:long>>, _kept {'string' if as_text else 'binary'}")
     return done.select(*[F.col(f"c_{i}").alias(c) for i, c in enumerate(columns)], "_n_bytes", "_spans", "_kept")
 
 
@@ -434,16 +436,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     A character goes if any of its bytes does. Rows whose text was empty before stay as they are.
     """
-    columns = [c for c in docs.columns if c != "text"]
-    d = removals(docs, columns)
-    # A cut through a character leaves bytes that are no UTF-8; such bytes are dropped.
-    text = F.when(F.size("_spans") == 0, F.decode("_kept", F.lit("UTF-8"))).otherwise(_valid_text(F.col("_kept")))
-    d = d.withColumn("text", text).where((F.size("_spans") == 0) | (F.trim(F.translate("text", "\t\n\r\x0b\x0c", " ")) != ""))
+    d = removals(docs, [c for c in docs.columns if c != "text"], as_text=True).withColumnRenamed("_kept", "text")
+    d = d.where((F.size("_spans") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return d.select(*docs.columns)
-
-
-def _valid_text(raw):
-    return F.translate(F.make_valid_utf8(raw.cast("string")), "�", "")
-
