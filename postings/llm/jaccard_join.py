@@ -12,7 +12,7 @@ can matter.
 3. The second takes, per column, every node outside the column's largest component
    against all others of the column: no pair inside a component matters any more, and none
    across components is left out. A group of near copies thus costs its size times the few nodes left out.
-4. Rows meet in tiles: at most ``TILE`` nodes that share their lowest shingle, against a stream of other nodes.
+4. Rows meet in tiles: about ``TILE`` nodes that share their lowest shingle, or that lie outside the same component, against a stream of other nodes.
    Pairs whose sizes or bit maps (two bits or more per shingle) bound the overlap below the threshold are discarded; for the rest
    the overlap is accumulated over the full sets, exactly.
 """
@@ -192,6 +192,12 @@ def _map(s: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _dealt(homes: DataFrame) -> DataFrame:
+    """Nodes of one home in tiles of about ``TILE``."""
+    split = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE).alias("parts"))
+    return homes.join(split, "home").withColumn("tile", F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts"))))
+
+
 def _tiles(rows: DataFrame, others: DataFrame, payload: DataFrame, labels: DataFrame | None, run: Callable, schema: str) -> DataFrame:
     """``run`` over each tile: its rows (role 0) first, then the other nodes (role 1) as they stream in."""
     d = rows.select("tile", F.lit(0).alias("role"), "node").union(others.select("tile", F.lit(1), "node"))
@@ -311,9 +317,7 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     entries = stored(_entries(docs, (gram[order], np.asarray(often["count"]).astype(np.int64)[order]), size))
 
     homes = entries.groupBy("node").agg(F.first("n").alias("n"), F.min("gram").alias("home"))
-    split = homes.groupBy("home").agg(F.ceil(F.count("*") / TILE).alias("parts"))
-    tile = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.col("parts")))
-    nodes = stored(homes.join(split, "home").select("node", "n", tile.alias("tile")))
+    nodes = stored(_dealt(homes).select("node", "n", "tile"))
     # A map goes with its set's size in front, four bytes.
     of_node = found.where("node IS NOT NULL").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("map").alias("map"))
     size_bytes = F.unhex(F.concat(*[F.lpad(F.hex(F.shiftright("n", 8 * k).bitwiseAND(255)), 2, "0") for k in range(4)]))
@@ -335,10 +339,13 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     known = entries.join(labels.join(sizes, "component"), "node", "left").select(
         "gram", "node", "n", F.coalesce("component", "node").alias("component"), F.coalesce("members", F.lit(1)).alias("members"))
     largest = known.groupBy("gram").agg(
-        F.max(F.struct("members", "component"))["component"].alias("main"), F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where("low < high").select("gram", "main")
-    open_entries = stored(known.join(largest, "gram").join(nodes.select("node", "tile"), "node"))
+        F.max(F.struct("members", "component")).alias("main"), F.min("component").alias("low"), F.max("component").alias("high"),
+    ).where("low < high").select("gram", F.col("main.component").alias("main"), F.col("main.members").alias("main_members"))
+    open_entries = stored(known.join(largest, "gram").select("gram", "node", "n", "component", "main", "main_members"))
+    # What is outside the same component shares tiles, so that component meets few of them.
     outside = open_entries.where("component <> main")
+    nearest = outside.groupBy("node").agg(F.max(F.struct("main_members", "main"))["main"].alias("home"))
+    outside = stored(outside.join(_dealt(nearest).select("node", "tile"), "node").select("gram", "node", "n", "tile"))
     # A tile meets a node only if some outside node of the tile fits its size: sizes that fit are a step apart at most.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.26)))
     seekers = outside.select("gram", "tile", F.explode(F.array(step - 1, step, step + 1)).alias("step")).distinct().groupBy("gram", "step").agg(F.collect_list("tile").alias("tiles"))
