@@ -25,6 +25,7 @@ FAILED = "failed"
 TRUNCATED = "truncated"
 NOT_COLLECTED = "not collected"
 INCOMPLETE_BY_FILES = "incomplete by files"
+UNREADABLE = "unreadable"
 FROM_LEDGER = "status file"
 FROM_PAGES = "raw files, no status file"
 
@@ -119,11 +120,11 @@ WORK_MODES = ["hybrid", "remote", "unknown"]
 # --- fixed values: characters stripped by the two trims ------------------------
 # space separators (Unicode category Zs), as stripped from titles
 SPACE_SEPARATORS = (
-    "              "
-    "  　"
+    " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u202f\u205f\u3000"
 )
 # all white space, as stripped from company names
-WHITE_SPACE = "\t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085  " + SPACE_SEPARATORS
+WHITE_SPACE = "\t\n\u000b\f\r\u001c\u001d\u001e\u001f\u0085\u2028\u2029" + SPACE_SEPARATORS
 
 # --- fixed values: layouts -------------------------------------------------------
 ENVELOPE_SCHEMA = """

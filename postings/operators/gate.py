@@ -127,26 +127,38 @@ def day_problems(
 
 
 def admit(rows: DataFrame, problems: DataFrame, allow_incomplete: bool = False) -> DataFrame:
-    """Rows of whole days only, unless incomplete days are allowed."""
+    """Rows of whole days only; incomplete days can be allowed, days with unreadable files never."""
     if allow_incomplete:
-        return rows
+        problems = problems.where(F.col("problem") == fixed.UNREADABLE)
     closed = measured_small(problems.select("run_date").distinct())
     return rows.join(closed, "run_date", "left_anti").select(*rows.columns)
 
 
 def load_summary(rows: DataFrame) -> DataFrame:
     """Files, rows, distinct ids and days of what is loaded."""
-    return rows.agg(
-        F.count_distinct("source_file").alias("files"),
-        F.count("*").alias("rows"),
-        F.count_distinct("source_id").alias("ids"),
-        F.array_sort(F.collect_set("run_date")).alias("days"),
+    # grouped before they are counted, so no task holds all files or ids
+    by_file = rows.groupBy("source_file").agg(F.count("*").alias("n"), F.collect_set("run_date").alias("days"))
+    by_id = rows.groupBy("source_id").agg(F.count("*").alias("n"))
+    zero = F.lit(0).cast("long")
+    parts = by_file.agg(
+        F.count("source_file").alias("files"), F.sum("n").alias("rows"), zero.alias("ids"),
+        F.array_distinct(F.flatten(F.collect_set("days"))).alias("days"),
+    ).unionByName(by_id.agg(
+        zero.alias("files"), zero.alias("rows"), F.count("source_id").alias("ids"), F.array().cast("array<date>").alias("days"),
+    ))
+    return parts.agg(
+        F.sum("files").alias("files"), F.coalesce(F.sum("rows"), zero).alias("rows"), F.sum("ids").alias("ids"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("days")))).alias("days"),
     )
 
 
-def to_collect_again(expected: DataFrame, states: DataFrame) -> DataFrame:
-    """Expected pairs that are not complete yet."""
+def to_collect_again(
+    expected: DataFrame, states: DataFrame, pages: DataFrame | None = None
+) -> DataFrame:
+    """Expected pairs that are not complete yet, or whose pages (``run_date, pair``) are not there any more."""
     done = last_results(states).where(F.col("status") == fixed.COMPLETE)
+    if pages is not None:
+        done = done.join(pages.select("run_date", "pair").distinct(), ["run_date", "pair"], "left_semi")
     return expected.join(done, ["run_date", "pair"], "left_anti")
 
 

@@ -68,7 +68,7 @@ def gone_rows_by_join(df: DataFrame, key: str, day: str, guard: str) -> DataFram
     after = measured_small(
         day_sequence(df, day).where(F.col("next_day").isNotNull()).select(day, "next_day")
     )
-    covered = df.select(F.col(day).alias("next_day"), guard).distinct()
+    covered = measured_small(df.select(F.col(day).alias("next_day"), guard).distinct())
     present = df.select(key, F.col(day).alias("next_day"))
     return (
         df.join(after, day)

@@ -62,6 +62,12 @@ def relationship_test(child: DataFrame, name: str, column: str, parent: DataFram
     )
 
 
+def same_days_test(name: str, *days: DataFrame) -> DataFrame:
+    """Days that not every one of the one-column relations holds."""
+    marked = reduce(DataFrame.union, [d.toDF("day").distinct().withColumn("layer", F.lit(i)) for i, d in enumerate(days)])
+    return _one(marked.groupBy("day").agg(F.count("*").alias("n")).where(F.col("n") < len(days)), name)
+
+
 def all_tests(*results: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 

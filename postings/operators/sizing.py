@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
@@ -23,6 +23,14 @@ def local_copy(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | Non
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def fetched(df: DataFrame, what: str, max_rows: int = BROADCAST_ROWS) -> list[Row]:
+    """The rows of a relation that is small by its nature, days say; beyond the bound an error, never a part."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{what}: more than {max_rows} rows")
+    return rows
+
+
 def measured_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` as a broadcast local relation within the bound, else ``df`` itself.
 

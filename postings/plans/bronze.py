@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.operators import gate
-from postings.operators.sizing import local_copy
+from postings.operators.sizing import fetched
 from postings.sources import landing, warehouse
 
 
@@ -20,14 +20,15 @@ class Load(NamedTuple):
 
 
 def problems_in(spark: SparkSession, folder: str, pages: DataFrame, *days: str) -> DataFrame:
-    """What keeps the landed days from being whole; ``pages`` are their page counts."""
+    """What keeps the landed days from being whole; ``pages`` are their page counts, unreadable files among them."""
     ledger = landing.read_ledger(spark, folder, *days)
-    return gate.day_problems(
-        pages,
+    found = gate.day_problems(
+        pages.where("NOT unreadable").drop("unreadable"),
         landing.expected_pairs(ledger),
         landing.pair_states(ledger),
         landing.ledger_days(ledger),
     )
+    return found.unionByName(landing.unreadable_files(pages, ledger))
 
 
 def load_days(
@@ -47,13 +48,13 @@ def load_days(
     warehouse.ensure_layers(spark)
     warehouse.ensure_partitioned(spark, table)
     warehouse.create_raw_table(spark, table)
-    pages = warehouse.stored(landing.page_counts(landing.read_pages(spark, folder, *days)))
+    pages = warehouse.stored(landing.page_counts(landing.read_pages(spark, folder, *days), "unreadable", "source_file"))
     problems = warehouse.stored(problems_in(spark, folder, pages, *days))
 
-    flat = landing.flatten_pages(landing.read_pages(spark, folder, *days))
+    flat = landing.flatten_pages(landing.read_pages(spark, folder, *days).where("NOT unreadable"))
     warehouse.replace_days(gate.admit(flat, problems, allow_incomplete), table)
 
-    landed = pages.where("n > 0").select("run_date").distinct()
-    loaded = sorted(r.run_date for r in local_copy(gate.admit(landed, problems, allow_incomplete)).collect())
+    landed = pages.where("n > 0 AND NOT unreadable").select("run_date").distinct()
+    loaded = sorted(r.run_date for r in fetched(gate.admit(landed, problems, allow_incomplete), "days loaded"))
     kept = spark.table(table).where(F.col("run_date").isin(loaded))
     return Load(loaded, gate.load_summary(kept), problems)

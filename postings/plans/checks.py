@@ -1,4 +1,4 @@
-"""The data tests of the warehouse: 22 declared on columns and 4 on grain, key and rule."""
+"""The data tests of the warehouse: 22 declared on columns, 4 on grain, key and rule, and one on the days of the layers."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from postings.operators.quality import (
     not_null,
     relationship_test,
     row_tests,
+    same_days_test,
     unique_test,
 )
 
@@ -47,6 +48,9 @@ def run(
         unique_test(facts, "fact grain", "source_id", "observed_on"),
         relationship_test(facts, "fact.country_code in dim_country", "country_code", countries),
         relationship_test(facts, "fact.role_key in dim_role", "role_key", roles),
+        same_days_test(
+            "days of staging, ads and fact", staged.select("observed_on"), ads.select("observed_on"), facts.where("NOT is_gone").select("observed_on")
+        ),
         row_tests(versions, not_nulls("dim_vacancy", "vacancy_sk", "source_id")),
         unique_test(versions, "dim_vacancy.vacancy_sk unique", "vacancy_sk"),
         row_tests(companies, not_nulls("dim_company", "company_sk")),

@@ -2,40 +2,82 @@
 
 from __future__ import annotations
 
-from datetime import date
+import hashlib
+import inspect
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postings import fixed
+from postings.functions import columns
+from postings.operators import dedup
 from postings.operators.quality import enforce
+from postings.operators.sizing import fetched
 from postings.plans import bronze, checks, gold, silver
 from postings.sources import warehouse
-from postings.sources.warehouse import replace_days, save_table, save_view
-
+from postings.sources.warehouse import replace_days, save_table, save_view, stored
 
 ADS = "intermediate.vacancies_enriched"
 
 
-def refreshed_ads(staged: DataFrame, changed: list[date] | None) -> DataFrame:
-    """The classified ads as a table by day, rebuilt for the changed days only where it exists.
+#: Per day the state of the raw partition that the ads were built from, and the rules they were built with.
+BUILT = "intermediate.ads_built_from"
+
+
+def raw_state(raw: DataFrame) -> DataFrame:
+    """(run_date, state) of every day in the raw table, from the names of its files.
+
+    Every write of a day makes files of new names, so whoever loaded it (this job, a stream, a load whose build died)
+    changes the state. Only file footers are read.
+    """
+    names = raw.select("run_date", F.col("_metadata.file_name").alias("name")).distinct()
+    return names.groupBy("run_date").agg(F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64("name"))).alias("state"))
+
+
+def rules_in_force() -> str:
+    """A digest of the sources that decide what an ad row holds."""
+    sources = [fixed, columns, dedup, silver]
+    return hashlib.md5("".join(inspect.getsource(m) for m in sources).encode()).hexdigest()
+
+
+def refreshed_ads(staged: DataFrame, raw: DataFrame, full: bool = False) -> DataFrame:
+    """The classified ads as a table by day, rebuilt for the days that differ from what they were built from.
 
     An ad row depends on the raw rows of its own day alone, so replacing the
-    days just loaded gives the same table as a full rebuild. The day list
-    prunes the raw partitions at planning time.
+    days that changed gives the same table as a full rebuild. The day list
+    prunes the raw partitions at planning time. Days without a usable row leave
+    the table. What was built is noted last: a build that dies is done again.
     """
     spark = staged.sparkSession
-    if changed is None or not spark.catalog.tableExists(ADS):
-        return save_table(silver.present(staged), ADS, "observed_on")
-    some = staged.where(F.col("observed_on").isin(changed))
-    replace_days(silver.present(some), ADS, "observed_on")
-    return spark.table(ADS)
+    now = [(r.run_date, r.state, rules_in_force()) for r in fetched(raw_state(raw), "days of the raw table")]
+    known = set()
+    if not full and spark.catalog.tableExists(ADS) and spark.catalog.tableExists(BUILT):
+        known = {tuple(r) for r in fetched(spark.table(BUILT).select("run_date", "state", "rules"), "days of the ads table")}
+    if not known:
+        spark.sql(f"DROP TABLE IF EXISTS {BUILT}")
+        ads = save_table(silver.present(staged), ADS, "observed_on")
+    elif changed := sorted({d for d, *_ in known.symmetric_difference(now)}):
+        some = stored(silver.present(staged.where(F.col("observed_on").isin(changed))))
+        replace_days(some, ADS, "observed_on")
+        left = {r.observed_on for r in fetched(some.select("observed_on").distinct(), "days rebuilt")}
+        for day in changed:
+            if day not in left:
+                spark.sql(f"ALTER TABLE {ADS} DROP IF EXISTS PARTITION (observed_on = DATE'{day}')")
+        ads = spark.table(ADS)
+    else:
+        return spark.table(ADS)
+    save_table(spark.createDataFrame(now, "run_date date, state string, rules string").coalesce(1), BUILT)
+    return ads
 
 
 def build(
-    spark: SparkSession, raw_table: str = warehouse.RAW_TABLE, changed: list[date] | None = None
+    spark: SparkSession, raw_table: str = warehouse.RAW_TABLE, full: bool = False
 ) -> DataFrame:
     """Rebuild everything above the raw table and return the test results.
 
+    Every day whose raw rows or rules changed since its ads were built is
+    rebuilt, whoever loaded it; ``full`` rebuilds all days.
+
     The classified ads are read by the fact, the dimensions and the QA mart, so
     they are written once, by day; staging stays a view. The fact is read by all
     marts and is written once as well. Every table is a recovery point: work
@@ -43,7 +85,7 @@ def build(
     """
     warehouse.ensure_layers(spark)
     staged = save_view(silver.stage(spark.table(raw_table)), "stg_vacancies")
-    ads = refreshed_ads(staged, changed)
+    ads = refreshed_ads(staged, spark.table(raw_table), full)
 
     countries = save_table(gold.dim_country(spark), "marts.dim_country")
     roles = save_table(gold.dim_role(spark), "marts.dim_role")
@@ -68,5 +110,5 @@ def run_day(
 ) -> bronze.Load:
     """Load, rebuild and test; raises when a data test fails."""
     loaded = bronze.load_days(spark, folder, *days, allow_incomplete=allow_incomplete)
-    enforce(build(spark, changed=loaded.days))
+    enforce(build(spark))
     return loaded

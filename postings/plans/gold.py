@@ -156,14 +156,20 @@ def city_daily(facts: DataFrame) -> DataFrame:
     )
 
 
+SALARY_GROUP = ["observed_on", "country_code", "role_key", "currency"]
+
+
+def charted_salaries(facts: DataFrame, countries: DataFrame) -> DataFrame:
+    """Open relevant ads with a disclosed salary in the countries whose salaries are shown."""
+    charted = measured_small(countries.where("show_salary").select("country_code", "currency"))
+    return facts.where(F.col("is_relevant") & open_disclosed()).join(charted, "country_code")
+
+
 def salary_daily(facts: DataFrame, countries: DataFrame, approx: bool = False) -> DataFrame:
     """Counts, medians and quartiles of disclosed salaries, one currency per row."""
-    by = ["observed_on", "country_code", "role_key", "currency"]
-    charted = measured_small(countries.where("show_salary").select("country_code", "currency"))
-    shown = facts.where(F.col("is_relevant") & open_disclosed()).join(charted, "country_code")
     return quantiles(
-        shown,
-        by,
+        charted_salaries(facts, countries),
+        SALARY_GROUP,
         {
             "salary_mid_p50": ("salary_mid", 0.5, CONTINUOUS),
             "salary_mid_p25": ("salary_mid", 0.25, DISCRETE),

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings import fixed
 from postings.functions import city_of, region_of, stripped_or_null
 
+CORRUPT = "_unparsed"
 
 def read_pages(spark: SparkSession, folder: str, *days: str) -> DataFrame:
     """Page envelopes, one document per file, with their file name.
 
     The schema is explicit, so nothing is inferred; small files are packed
     into scan tasks by Spark. ``days`` restrict the listing to their files.
+    A file that is no JSON document, or has no metadata of its page, is kept as a row marked ``unreadable``.
     """
-    return _documents(spark, folder, fixed.ENVELOPE_SCHEMA, _names("raw", "_*", days)).select(
-        "_meta", "payload", F.col("_metadata.file_name").alias("source_file")
+    pages = _documents(spark, folder, fixed.ENVELOPE_SCHEMA, _names("raw", "_*", days))
+    return pages.select(
+        "_meta", "payload", F.col("_metadata.file_name").alias("source_file"), _unreadable("_meta").alias("unreadable")
     )
 
 
 def read_ledger(spark: SparkSession, folder: str, *days: str) -> DataFrame:
-    return _documents(spark, folder, fixed.LEDGER_SCHEMA, _names("status", "", days))
+    """Ledgers, one per day; one that is no JSON document is a row marked ``unreadable`` with the day of its file name."""
+    ledger = _documents(spark, folder, fixed.LEDGER_SCHEMA, _names("status", "", days))
+    return ledger.withColumn("unreadable", _unreadable("run_date")).withColumn(
+        "run_date", F.when(F.col("unreadable"), _day_of(F.col("_metadata.file_name"))).otherwise(F.col("run_date"))
+    ).drop(CORRUPT)
 
 
 def _names(kind: str, rest: str, days: tuple[str, ...]) -> str:
@@ -31,8 +38,27 @@ def _names(kind: str, rest: str, days: tuple[str, ...]) -> str:
 
 
 def _documents(spark: SparkSession, folder: str, schema: str, names: str) -> DataFrame:
-    reader = spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", names)
-    return reader.json(folder)
+    reader = spark.read.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.option("multiLine", True).option("pathGlobFilter", names).json(folder)
+
+
+def _unreadable(needed: str) -> Column:
+    return F.col(CORRUPT).isNotNull() | F.col(needed).isNull()
+
+
+def _day_of(file_name: Column) -> Column:
+    return F.nullif(F.regexp_extract(file_name, r"_(\d{4}-\d{2}-\d{2})[_.]", 1), F.lit(""))
+
+
+def unreadable_files(pages: DataFrame, ledger: DataFrame) -> DataFrame:
+    """One problem row per unreadable page file or ledger: its day and file name; day problems take these as they are."""
+    bad_pages = pages.where("unreadable").select(
+        _day_of(F.col("source_file")).try_cast("date").alias("run_date"), F.col("source_file").alias("pair"),
+        F.lit(fixed.UNREADABLE).alias("problem"), F.lit(fixed.FROM_PAGES).alias("evidence"))
+    bad_ledgers = ledger.where("unreadable").select(
+        F.col("run_date").try_cast("date").alias("run_date"), F.lit(None).cast("string").alias("pair"),
+        F.lit(fixed.UNREADABLE).alias("problem"), F.lit(fixed.FROM_LEDGER).alias("evidence"))
+    return bad_pages.unionByName(bad_ledgers)
 
 
 def ledger_days(ledger: DataFrame) -> DataFrame:
@@ -95,8 +121,8 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_counts(pages: DataFrame) -> DataFrame:
-    """One row per page with the number of ads on it, for the completeness rules."""
+def page_counts(pages: DataFrame, *more: str) -> DataFrame:
+    """One row per page with the number of ads on it, for the completeness rules, and ``more`` of its columns."""
     found = F.coalesce(F.size("payload.results"), F.lit(0))
     return pages.select(
         F.to_date("_meta.run_date").alias("run_date"),
@@ -105,6 +131,7 @@ def page_counts(pages: DataFrame) -> DataFrame:
         F.col("_meta.page").alias("page"),
         F.greatest(found, F.lit(0)).alias("n"),
         F.col("_meta.count_reported").alias("count_reported"),
+        *more,
     )
 
 

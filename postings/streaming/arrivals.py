@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from postings import fixed
-from postings.operators.sizing import local_copy
+from postings.operators.sizing import fetched
 from postings.plans.bronze import load_days
 from postings.sources import warehouse
 
@@ -37,8 +37,7 @@ def load_arrivals(
     def load(batch: DataFrame, _: int) -> None:
         # at most one day per file of the batch; loaded in the caller's session, which
         # then sees the replaced files of the table
-        days = local_copy(batch.distinct(), files_per_batch)
-        touched = sorted(row.run_date for row in days.collect())
+        touched = sorted(row.run_date for row in fetched(batch.distinct(), "days of a batch", files_per_batch) if row.run_date)
         if touched:
             load_days(spark, folder, *touched, table=table)
 

@@ -35,6 +35,7 @@ def clean(spark):
     warehouse.ensure_layers(spark)
     spark.sql(f"DROP TABLE IF EXISTS {warehouse.RAW_TABLE}")
     spark.sql(f"DROP TABLE IF EXISTS {daily.ADS}")
+    spark.sql(f"DROP TABLE IF EXISTS {daily.BUILT}")
 
 
 def days(spark):
@@ -70,7 +71,7 @@ def test_refreshing_changed_days_equals_a_full_rebuild(spark, folder, clean, row
     assert [d.day for d in loaded.days] == [2, 4]
     assert loaded.summary.first().rows == 3
     refreshed = rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily"))
-    daily.build(spark)
+    daily.build(spark, full=True)
     assert refreshed == (rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily")))
 
 
@@ -101,3 +102,77 @@ def test_arrivals(spark, folder, clean, tmp_path):
     put(folder, "2026-09-04", "gb", "data analyst", 1, [ad("D"), ad("E")], count=2)
     load_arrivals(spark, str(folder), progress).awaitTermination(120)
     assert days(spark) == {1: 4, 2: 2, 4: 2}
+
+
+def layer_days(spark):
+    def of(table, column, where="true"):
+        return sorted(r[0].day for r in spark.table(table).where(where).select(column).distinct().collect())
+
+    return of(daily.ADS, "observed_on"), of("marts.fct_vacancy_daily", "observed_on", "NOT is_gone")
+
+
+def same_as_full(spark, rows):
+    kept = rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily"))
+    daily.build(spark, full=True)
+    assert kept == (rows(spark.table(daily.ADS)), rows(spark.table("marts.fct_vacancy_daily")))
+
+
+@pytest.fixture
+def three_days(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for day, n in ((1, 3), (2, 4), (3, 5)):
+        put(folder, f"2026-09-0{day}", "gb", "data engineer", 1, [ad(f"{chr(64 + k)}") for k in range(1, n + 1)], count=n)
+    return folder
+
+
+def test_days_loaded_without_a_build_reach_the_marts(spark, three_days, clean, rows):
+    daily.run_day(spark, str(three_days), "2026-09-01")
+    bronze.load_days(spark, str(three_days), "2026-09-02")  # a stream, or a run whose build died
+    daily.run_day(spark, str(three_days), "2026-09-03")
+    assert layer_days(spark) == ([1, 2, 3], [1, 2, 3])
+    same_as_full(spark, rows)
+
+
+def test_a_day_reloaded_without_ids_loses_its_ads(spark, three_days, clean, rows):
+    daily.run_day(spark, str(three_days))
+    put(three_days, "2026-09-03", "gb", "data engineer", 1, [{"title": "no id"}, {"title": "none"}], count=2)
+    daily.run_day(spark, str(three_days), "2026-09-03")
+    assert days(spark) == {1: 3, 2: 4, 3: 2}
+    assert layer_days(spark) == ([1, 2], [1, 2])
+    same_as_full(spark, rows)
+
+
+def test_changed_rules_reach_all_days(spark, three_days, clean, monkeypatch):
+    daily.run_day(spark, str(three_days))
+    before = daily.rules_in_force()
+    spark.sql(f"ALTER TABLE {daily.ADS} DROP PARTITION (observed_on = DATE'2026-09-01')")
+    daily.build(spark)  # nothing is seen to have changed
+    assert layer_days(spark)[0] == [2, 3]
+    monkeypatch.setattr(daily, "rules_in_force", lambda: before + "x")
+    daily.build(spark)
+    assert layer_days(spark)[0] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("page", [1, 2, 3])
+@pytest.mark.parametrize("ledger", [True, False])
+def test_a_cut_page_keeps_its_day_out(spark, tmp_path, clean, rows, page, ledger):
+    for p, n in ((1, 50), (2, 50), (3, 30)):
+        put(tmp_path, "2026-09-01", "gb", "data engineer", p, [ad(f"{p}-{k}") for k in range(n)], count=130)
+    if ledger:
+        put_ledger(tmp_path, "2026-09-01", ["gb/data engineer"], {"gb/data engineer": "complete"})
+    file = tmp_path / f"raw_2026-09-01_gb_data-engineer_p{page}.json"
+    file.write_text(file.read_text()[: len(file.read_text()) // 2])
+    for allow in (False, True):
+        loaded = bronze.load_days(spark, str(tmp_path), allow_incomplete=allow)
+        assert loaded.days == [] and days(spark) == {}
+        assert (file.name, "unreadable") in rows(loaded.problems, "pair", "problem")
+
+
+def test_a_cut_ledger_keeps_its_day_out(spark, tmp_path, clean, rows):
+    put(tmp_path, "2026-09-01", "gb", "data engineer", 1, [ad("A")], count=1)
+    put_ledger(tmp_path, "2026-09-01", ["gb/data engineer", "us/data engineer"], {"gb/data engineer": "complete"})
+    file = tmp_path / "status_2026-09-01.json"
+    file.write_text(file.read_text()[:-20])
+    loaded = bronze.load_days(spark, str(tmp_path))
+    assert loaded.days == [] and rows(loaded.problems, "problem", "evidence") == [("unreadable", "status file")]
