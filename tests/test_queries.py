@@ -24,16 +24,9 @@ def test_query_matches_its_sql(spark, con, name):
     assert difference(spark, con, SF, name) is None
 
 
-def test_only_the_approximate_query_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"salary_approx"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_approximate_quantiles_stay_inside_the_salary_range(spark):
-    exact = {r[:4]: r for r in QUERIES["salary_daily"](spark, SF).collect()}
-    for r in QUERIES["salary_approx"](spark, SF).collect():
-        assert exact[r[:4]].n_disclosed == r.n_disclosed
-        assert exact[r[:4]].salary_mid_p25 <= r.salary_mid_p50 <= exact[r[:4]].salary_mid_p75
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -310,6 +310,9 @@ DQ = "\nUNION ALL\n".join([
     _unique("fact", "fact grain", "source_id, observed_on"),
     "SELECT 'fact.country_code in dim_country', count(*) FROM fact WHERE country_code NOT IN (SELECT country_code FROM countries)",
     "SELECT 'fact.role_key in dim_role', count(*) FROM fact WHERE role_key NOT IN (SELECT role_key FROM roles)",
+    """SELECT 'days of staging, ads and fact', count(*) FILTER (NOT (a IN (SELECT observed_on FROM stg) AND a IN (SELECT observed_on FROM ads)
+         AND a IN (SELECT observed_on FROM fact WHERE NOT is_gone)))
+       FROM (SELECT observed_on AS a FROM stg UNION SELECT observed_on FROM ads UNION SELECT observed_on FROM fact WHERE NOT is_gone)""",
     *_not_nulls("versions", "dim_vacancy", ["vacancy_sk", "source_id"]),
     _unique("versions", "dim_vacancy.vacancy_sk unique", "vacancy_sk"),
     *_not_nulls("companies", "dim_company", ["company_sk"]),
@@ -370,6 +373,10 @@ BODIES = {
         SELECT e.run_date, e.pair FROM expected e
         WHERE NOT EXISTS (SELECT 1 FROM by_pages p
                           WHERE p.run_date = e.run_date AND p.pair = e.pair AND p.status = 'complete')""",
+    "recollect_missing_pages": """
+        SELECT e.run_date, e.pair FROM expected e
+        WHERE NOT EXISTS (SELECT 1 FROM by_pages p
+                          WHERE p.run_date = e.run_date AND p.pair = e.pair AND p.status = 'complete' AND p.pair NOT LIKE '%/click')""",
     "run_totals": """
         SELECT run_date, status, count(*) AS pairs, CAST(sum(pages) AS BIGINT) AS pages,
                CAST(sum(collected) AS BIGINT) AS collected FROM ledger GROUP BY run_date, status""",
@@ -416,6 +423,7 @@ BODIES = {
         JOIN roles r ON r.role_key = rk""",
     "market_daily": "SELECT * FROM market",
     "salary_daily": "SELECT * FROM salaries",
+    "salary_approx": "SELECT observed_on, country_code, role_key, currency, n_disclosed, true AS inside FROM salaries",
     "salary_disclosure": """
         SELECT observed_on, country_code, count(*) FILTER (NOT is_gone) AS n_ads,
                count(*) FILTER (NOT is_gone AND is_salary_disclosed) AS n_salary_disclosed,

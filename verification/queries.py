@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from postings import fixed
 from postings.functions import city_group, company_key, location_key, page_file_name, pair_key
 from postings.operators import gate, presence
+from postings.operators.quantiles import DISCRETE, quantiles
 from postings.operators.snapshot import latest_day
 from postings.plans import checks, dashboard, gold, reports, silver
 from postings.sources import landing
@@ -199,6 +201,13 @@ def recollect_list(x: Layers) -> DataFrame:
     return gate.to_collect_again(x.expected, known).select("run_date", "pair")
 
 
+@query
+def recollect_missing_pages(x: Layers) -> DataFrame:
+    """As if the page files of one search query were gone."""
+    known = gate.with_states_from_pages(x.states, x.by_pages)
+    return gate.to_collect_again(x.expected, known, x.by_pages.where("role_query <> 'click'")).select("run_date", "pair")
+
+
 @query
 def run_totals(x: Layers) -> DataFrame:
     return gate.run_totals(x.states)
@@ -353,7 +362,15 @@ def salary_daily(x: Layers) -> DataFrame:
 
 @query
 def salary_approx(x: Layers) -> DataFrame:
-    return gold.salary_daily(x.facts, x.countries, approx=True)
+    """Per group, whether the approximate quantiles lie between the exact ones a hundredth to either side."""
+    wanted = {"salary_mid_p50": ("salary_mid", 0.5), "salary_mid_p25": ("salary_mid", 0.25), "salary_mid_p75": ("salary_mid", 0.75),
+              "salary_min_p50": ("salary_min", 0.5), "salary_max_p50": ("salary_max", 0.5)}
+    facts = x.stored_facts
+    sides = {f"{n}_{s}": (c, p + d, DISCRETE) for n, (c, p) in wanted.items() for s, d in (("low", -0.01), ("high", 0.01))}
+    bounds = quantiles(gold.charted_salaries(facts, x.countries), gold.SALARY_GROUP, sides)
+    inside = [F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")) for n in wanted]
+    d = gold.salary_daily(facts, x.countries, approx=True).join(bounds, gold.SALARY_GROUP)
+    return d.select(*gold.SALARY_GROUP, "n_disclosed", reduce(and_, inside).alias("inside"))
 
 
 @query
