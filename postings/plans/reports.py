@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postings import fixed
 from postings.functions import folded, headers_with, hours_between, share
 from postings.operators.dedup import first_rows
+from postings.operators.snapshot import latest, latest_day
 
 PAIR = ["run_date", "country", "role_query"]
 
@@ -127,6 +128,29 @@ def term_coverage(rows: DataFrame, text: str, terms: list[str] = fixed.TECHNOLOG
     )
 
 
+def profile(raw: DataFrame, pages: DataFrame, counts: DataFrame, day: str | None = None) -> dict[str, DataFrame]:
+    """The seven profile reports over one day: the latest one with rows, or ``day``.
+
+    ``pages`` are the envelopes with their metadata, ``counts`` their page counts.
+    """
+    if day is None:
+        rows = latest(raw, "run_date")
+        wanted = latest_day(raw, "run_date").scalar()
+    else:
+        wanted = F.lit(day).cast("date")
+        rows = raw.where(F.col("run_date") == wanted)
+    return {
+        "volume": volume(rows, counts.where(F.col("run_date") == wanted)),
+        "duplicates": duplicates(rows),
+        "overlap": overlap(rows),
+        "salary_fields": salary_fields(rows),
+        "repeated_positions": repeated_positions(rows),
+        "top_titles": top_titles(rows),
+        "term_coverage": term_coverage(rows, "vacancy_json" if "vacancy_json" in raw.columns else "description"),
+        "quota_headers": quota_headers(pages.where(F.col("_meta.run_date").cast("date") == wanted)),
+    }
+
+
 def quota_headers(pages: DataFrame) -> DataFrame:
     """Quota-like response headers of the first page file."""
     first = pages.agg(F.min_by("_meta.response_headers", "source_file").alias("headers"))

@@ -457,6 +457,20 @@ BODIES = {
     "salary_medians": """
         SELECT observed_on, country_code, role_key, n_disclosed, round(salary_mid_p50, 0) AS salary_mid_p50
         FROM salaries""",
+    "profile_volume": """
+        SELECT p.run_date, p.country, p.role_query, count(*) AS collected, any_value(p.count_reported) AS reported
+        FROM by_pages p JOIN raw_rows USING (run_date, country, role_query)
+        WHERE p.run_date = (SELECT max(run_date) FROM raw_rows) GROUP BY p.run_date, p.country, p.role_query""",
+    "profile_duplicates": """
+        SELECT count(source_id) AS n_rows, count(DISTINCT source_id) AS n_ids,
+               count(source_id) - count(DISTINCT source_id) AS n_repeats,
+               round((count(source_id) - count(DISTINCT source_id)) / count(source_id), 6) AS repeat_share
+        FROM raw_rows WHERE run_date = (SELECT max(run_date) FROM raw_rows)""",
+    "profile_salary_fields": """
+        SELECT country, count(*) AS n, count(*) FILTER (salary_is_predicted = '0') AS n_flag,
+               count(salary_min) AS n_band, count(salary_min) FILTER (salary_is_predicted = '0') AS n_both,
+               round(count(salary_min) FILTER (salary_is_predicted = '0') / count(*), 6) AS both_share
+        FROM raw_rows WHERE run_date = (SELECT max(run_date) FROM raw_rows) GROUP BY country""",
     "volume_vs_reported": """
         SELECT p.run_date, p.country, p.role_query, count(*) AS collected, any_value(p.count_reported) AS reported
         FROM by_pages p JOIN raw_rows USING (run_date, country, role_query)

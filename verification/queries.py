@@ -430,6 +430,25 @@ def overlap_histogram(x: Layers) -> DataFrame:
     return reports.overlap(x.raw)
 
 
+def _latest_profile(x: Layers) -> dict[str, DataFrame]:
+    return reports.profile(x.raw, envelopes(x.spark, x.sf_dir), x.pages)
+
+
+@query
+def profile_volume(x: Layers) -> DataFrame:
+    return _latest_profile(x)["volume"]
+
+
+@query
+def profile_duplicates(x: Layers) -> DataFrame:
+    return _latest_profile(x)["duplicates"]
+
+
+@query
+def profile_salary_fields(x: Layers) -> DataFrame:
+    return _latest_profile(x)["salary_fields"]
+
+
 @query
 def salary_fields(x: Layers) -> DataFrame:
     return reports.salary_fields(x.raw)
