@@ -125,7 +125,7 @@ def _blocked(words: list[str], blocks: int) -> list[list[str]]:
 
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(word, ids) of distinct ``words`` by the cheapest path; the id of a character without a piece is minus its code point.
+    """(word, ids) of distinct ``words`` by the cheapest path; a character without a piece has minus one less its code point for an id.
 
     ``words`` are partitioned by word, and exploding and the join with the small piece table keep that, so grouping the edges moves nothing.
     """
@@ -135,7 +135,7 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     d = words.withColumn("marked", F.translate("word", MARK + " ", "" + MARK))
     d = d.where(F.length("word") > 0).select("word", F.explode(spans).alias("x")).select("word", "x.s", "x.e", "x.piece")
     d = d.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    lost = F.when(F.col("piece") == "", F.lit(-ord(MARK))).otherwise(-F.expr("ascii(piece)"))
+    lost = F.when(F.col("piece") == "", F.lit(-1 - ord(MARK))).otherwise(-1 - F.expr("ascii(piece)"))
     edge = F.struct("e", "s", F.coalesce("cost", F.lit(_UNKNOWN)).alias("c"), F.coalesce("id", lost).alias("id"))
     d = d.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     cell = "struct<e:int,cost:double,back:int,id:int>"
@@ -237,11 +237,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 
 def _spelt_out(values: np.ndarray, lengths: np.ndarray, bytes_of: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Characters without a piece, given as minus their code point, as the pieces of their bytes."""
+    """Characters without a piece, given as minus one less their code point, as the pieces of their bytes."""
     lost = np.flatnonzero(values < 0)
     if not len(lost):
         return values, lengths
-    spelt = [[bytes_of[b] for b in chr(-int(values[k])).encode("utf-8", "surrogatepass")] for k in lost]
+    spelt = [[bytes_of[b] for b in chr(-1 - int(values[k])).encode("utf-8", "surrogatepass")] for k in lost]
     owner = np.searchsorted(np.cumsum(lengths), lost, "right")
     lengths = lengths.copy()
     np.add.at(lengths, owner, [len(s) - 1 for s in spelt])
