@@ -190,7 +190,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             part = names[k:k + 20_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([found[w] for w in part], pa.int32())], ["word", "block"])
 
-    words = asked.mapInArrow(distinct, "word string, block int").repartition(blocks, "word")
+    # Some twenty edges a word are grouped in memory, so words are dealt out finer than texts.
+    words = asked.mapInArrow(distinct, "word string, block int").repartition(4 * blocks, "word")
     known = lattice(words.select("word"), pieces, longest)
     # A word's block follows from the word alone.
     known = known.select((F.crc32("word") % blocks).cast("int").alias("block"), "word", "ids")
