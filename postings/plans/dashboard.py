@@ -91,7 +91,7 @@ def company_life(bi: DataFrame) -> DataFrame:
     shown = bi.where(is_open())
     return with_quantiles(
         measures(shown, by, distinct={"n_positions": (F.lit(True), "position_id")}),
-        quantiles(shown, by, {"days_open_p50": ("days_open", 0.5, CONTINUOUS)}),
+        shown.groupBy(*by).agg(F.percentile("days_open", 0.5).alias("days_open_p50")),
         by,
     )
 
@@ -111,17 +111,12 @@ def week_growth(bi: DataFrame, top: int = 10, days_of: DataFrame | None = None)
 def longest_open(bi: DataFrame, top: int = 10, days_of: DataFrame | None = None) -> DataFrame:
     """Companies whose ads of the latest day have been open longest."""
     now = latest(bi, "observed_on", days_of).where(is_open() & F.col("company_name").isNotNull())
-    found = quantiles(
-        now,
-        ["company_name"],
-        {
-            "days_open_max": ("days_open", 1.0, DISCRETE),
-            "days_open_p50": ("days_open", 0.5, CONTINUOUS),
-        },
-        rows_as="n_ads",
+    found = now.groupBy("company_name").agg(
+        F.max("days_open").cast("int").alias("days_open_max"),
+        F.percentile("days_open", 0.5).alias("days_open_p50"),
+        F.count("*").alias("n_ads"),
     )
     return (
-        found.withColumn("days_open_max", F.col("days_open_max").cast("int"))
-        .orderBy(F.desc("days_open_max"), F.desc("days_open_p50"), "company_name")
+        found.orderBy(F.desc("days_open_max"), F.desc("days_open_p50"), "company_name")
         .limit(top)
     )

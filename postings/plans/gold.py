@@ -203,15 +203,10 @@ def company_role(facts: DataFrame, days_of: DataFrame | None = None) -> DataFram
             "n_positions_new": (F.col("is_new") & is_open(), "position_id"),
         },
     )
-    medians = quantiles(
-        now,
-        by,
-        {
-            "days_open_p50": ("open_for", 0.5, CONTINUOUS),
-            "salary_mid_p50": ("disclosed_mid", 0.5, CONTINUOUS),
-        },
-    )
-    return with_quantiles(counted, medians, by)
+    # days open are at most as many values as there are days: one aggregate, combined before the shuffle
+    open_for = now.groupBy(*by).agg(F.percentile("open_for", 0.5).alias("days_open_p50"))
+    salaries = quantiles(now, by, {"salary_mid_p50": ("disclosed_mid", 0.5, CONTINUOUS)})
+    return with_quantiles(with_quantiles(counted, open_for, by), salaries, by)
 
 
 def unmatched_titles(ads: DataFrame) -> DataFrame:
