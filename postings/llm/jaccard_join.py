@@ -31,8 +31,11 @@ from postings.llm.text import FOLD, mix, shingle_sets, slices
 from postings.sources.warehouse import stored
 
 SIZE = 5
-#: A column with more nodes than this, and than a millionth of all entries, counts as frequent; so there are at most a million.
-FREQUENT = 100
+#: A column met in more nodes than this counts as frequent; where those are more than ``MOST_FREQUENT``, the bar is raised until they are not.
+FREQUENT = 20
+MOST_FREQUENT = 1_000_000
+#: Nodes of a frequent column that go to one block.
+SHARE = 500
 TILE = 512
 FLUSH = 4_000_000
 FILTER_BITS = 24
@@ -102,7 +105,7 @@ def _entries(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], size: int
             salt = np.zeros(len(gram), np.uint64)
             if len(often):
                 at = np.minimum(np.searchsorted(often, gram), len(often) - 1)
-                split = np.where(often[at] == gram, times[at] // FREQUENT + 1, 1).astype(np.uint64)
+                split = np.where(often[at] == gram, times[at] // SHARE + 1, 1).astype(np.uint64)
                 salt = np.where(split > 1, mix(owner + _U(1)) % split, 0).astype(np.uint64)
             block = (mix(gram + salt * _U(0x9E3779B97F4A7C15)) % _U(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
@@ -310,8 +313,16 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """
     found = stored(_sets(docs, size))
     members = found.where("gram IS NULL").select("doc_id", "n_shingles", "node")
-    entries_total = members.agg(F.sum("n_shingles")).first()[0] or 0
-    often = found.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") > max(FREQUENT, entries_total // 1_000_000)).toArrow()
+    counted = stored(found.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") > FREQUENT))
+    # The bar comes from how many columns have each count; counts beyond ten thousand are one step.
+    steps = sorted(counted.groupBy(F.least("count", F.lit(10_000)).alias("count")).agg(F.count("*").alias("n")).collect(), reverse=True)
+    bar, n = FREQUENT, 0
+    for step in steps:
+        n += step.n
+        if n > MOST_FREQUENT:
+            bar = step["count"]
+            break
+    often = counted.where(F.col("count") > bar).limit(MOST_FREQUENT).toArrow()
     gram = np.asarray(often["gram"]).astype(np.int64).view(np.uint64)
     order = np.argsort(gram)
     entries = stored(_entries(docs, (gram[order], np.asarray(often["count"]).astype(np.int64)[order]), size))
