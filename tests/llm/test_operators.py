@@ -252,6 +252,8 @@ def classes(sets):
 def test_jaccard_classes(spark, monkeypatch, frequent, tile):
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "SHARE", 500 if tile > 2 else 2)
+    monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", 1_000_000 if tile > 2 else 40)
     rng = np.random.default_rng(7)
     base_ = [f"w{k}" for k in range(60)]
     rows = []
