@@ -11,8 +11,8 @@ go to the word's block and the pieces of the chunk's words come back, each packe
 moves is a fraction of the text.
 
 A pair-encoding model file has merge ranks, no log-probabilities. A piece's cost is then the logarithm of its rank plus
-two (word frequencies fall about as one over the rank), and the path of least total cost wins; of equal paths the
-one with the longer last piece.
+two (word frequencies fall about as one over the rank), and the path of least total cost wins; of equal ways to a place
+the one with the smaller last id.
 """
 
 from __future__ import annotations
@@ -36,7 +36,15 @@ CHUNK_BYTES = 8 << 20
 MARK = "\u2581"
 #: Stands for a space mark of the text's own inside the lattice; a private-use character, so no piece holds it.
 OWN = "\ue000"
-_UNKNOWN = 1000.0
+#: Costs are whole numbers, ten thousand to one.
+SCALE = 10_000
+_UNKNOWN = 50 * SCALE
+_LENGTH_BITS, _ID_BITS = 4, 22
+_NO_PIECE = 1 << 21
+#: Longer words are cut here, so that the cost of a word fits its bits.
+LONGEST_WORD = 1 << 16
+#: Words whose edges are grouped in memory at once, some kilobytes each; a task has fewer.
+GROUPED_WORDS = 100_000
 
 
 @cache
@@ -44,7 +52,7 @@ def _model(path: str) -> SentencePieceProcessor:
     return SentencePieceProcessor(model_file=path)
 
 
-def piece_table(path: str) -> list[tuple[str, int, float]]:
+def piece_table(path: str) -> list[tuple[str, int, int]]:
     """(piece, id, cost) of every piece that may stand in a word: no control or byte piece, and a space mark only in front."""
     m = _model(path)
     out = []
@@ -54,7 +62,7 @@ def piece_table(path: str) -> list[tuple[str, int, float]]:
             continue
         # The space mark alone has no rank in a pair-encoding model; its number stands for one.
         rank = i if m.get_score(i) < -1e8 else max(0.0, -m.get_score(i))
-        out.append((p, i, math.log(2 + rank)))
+        out.append((p, i, round(SCALE * math.log(2 + rank))))
     return out
 
 
@@ -66,7 +74,7 @@ def byte_ids(path: str) -> list[int]:
 
 def words_of(text: str) -> list[str]:
     """The words of a text, a space in front of each as in the marked string; line ends are words of their own."""
-    out = []
+    out: list[str] = []
     for n, line in enumerate(text.split("\n")):
         if n:
             out.append("\n")
@@ -77,6 +85,8 @@ def words_of(text: str) -> list[str]:
             if parts[0]:
                 out.append(parts[0])
             out += [" " + w for w in parts[1:]]
+    if len(text) > LONGEST_WORD:
+        out = [w[k:k + LONGEST_WORD] for w in out for k in range(0, len(w), LONGEST_WORD)]
     return out
 
 
@@ -128,31 +138,37 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(word, ids) of distinct ``words`` by the cheapest path; a character without a piece has minus one less its code point for an id.
 
     ``words`` are partitioned by word, and exploding and the join with the small piece table keep that, so grouping the edges moves nothing.
+    An edge, and the best way to a place, is one number: cost, id and length from the high bits to the low ones, so
+    that the least number is the cheapest way.
     """
-    n = "length(marked)"
-    spans = F.expr(f"""flatten(transform(sequence(1, {n}), e -> transform(sequence(greatest(1, e - {longest - 1}), e),
-        s -> struct(s - 1 as s, e as e, substring(marked, s, e - s + 1) as piece))))""")
-    d = words.withColumn("marked", F.translate("word", MARK + " ", "" + MARK))
-    d = d.where(F.length("word") > 0).select("word", F.explode(spans).alias("x")).select("word", "x.s", "x.e", "x.piece")
-    d = d.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR e = s + 1")
-    lost = F.when(F.col("piece") == "", F.lit(-1 - ord(MARK))).otherwise(-1 - F.expr("ascii(piece)"))
-    edge = F.struct("e", "s", F.coalesce("cost", F.lit(_UNKNOWN)).alias("c"), F.coalesce("id", lost).alias("id"))
-    d = d.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    cell = "struct<e:int,cost:double,back:int,id:int>"
-    path = f"""aggregate(edges,
-        named_struct('done', cast(array() as array<{cell}>), 'cur', named_struct('e', 0, 'cost', 0D, 'back', 0, 'id', 0)),
-        (t, x) -> transform(array(named_struct('e', x.e, 'cost', x.c + if(x.s = t.cur.e, t.cur.cost, t.done[x.s].cost), 'back', x.s, 'id', x.id)),
-            y -> if(y.e = t.cur.e,
-                named_struct('done', t.done, 'cur', if(y.cost < t.cur.cost, y, t.cur)),
-                named_struct('done', array_append(t.done, t.cur), 'cur', y)))[0],
-        t -> array_append(t.done, t.cur))"""
+    d = words.where(F.length("word") > 0).select("word", F.translate("word", MARK + " ", OWN + MARK).alias("marked"))
+    d = d.select("word", "marked", F.explode(F.sequence(F.lit(1), F.length("marked"))).alias("e"))
+    d = d.select("word", "marked", "e", F.explode(F.sequence(F.greatest(F.lit(1), F.col("e") - (longest - 1)), F.col("e"))).alias("s"))
+    d = d.select("word", "e", (F.col("e") - F.col("s")).alias("more"), F.expr("substring(marked, s, e - s + 1)").alias("piece"))
+    d = d.join(F.broadcast(pieces), "piece", "left").where("edge IS NOT NULL OR more = 0")
+    point = F.when(F.col("piece") == OWN, F.lit(ord(MARK))).otherwise(F.expr("ascii(piece)")).cast("long")
+    lost = F.lit(_packed_edge(_UNKNOWN, _NO_PIECE)) + point * (1 << _LENGTH_BITS)
+    d = d.select("word", F.struct("e", (F.coalesce("edge", lost) + F.col("more")).alias("p")).alias("edge"))
+    d = d.groupBy("word").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    low = (1 << _LENGTH_BITS + _ID_BITS) - 1
+    way = f"(if(x.e - 1 - (x.p & {(1 << _LENGTH_BITS) - 1}) = t.e, t.best, t.done[x.e - 1 - cast(x.p & {(1 << _LENGTH_BITS) - 1} as int)]) & {~low}L) + x.p"
+    path = f"""aggregate(edges, named_struct('done', cast(array() as array<bigint>), 'e', 0, 'best', 0L),
+        (t, x) -> if(x.e = t.e,
+            named_struct('done', t.done, 'e', t.e, 'best', least(t.best, {way})),
+            named_struct('done', array_append(t.done, t.best), 'e', x.e, 'best', {way})),
+        t -> array_append(t.done, t.best))"""
     d = d.select("word", F.expr(path).alias("best"))
-    back = """aggregate(sequence(2, size(best)), named_struct('at', size(best) - 1, 'ids', cast(array() as array<int>)),
-        (t, k) -> if(t.at = 0, t, named_struct('at', best[t.at].back, 'ids', array_append(t.ids, best[t.at].id))),
-        t -> reverse(t.ids))"""
+    number = f"cast(shiftright(best[t.at], {_LENGTH_BITS}) & {(1 << _ID_BITS) - 1} as int)"
+    back = f"""aggregate(sequence(2, size(best)), named_struct('at', size(best) - 1, 'ids', cast(array() as array<int>)),
+        (t, k) -> if(t.at = 0, t, named_struct('at', t.at - 1 - cast(best[t.at] & {(1 << _LENGTH_BITS) - 1} as int), 'ids', array_append(t.ids, {number}))),
+        t -> transform(reverse(t.ids), i -> if(i >= {_NO_PIECE}, {_NO_PIECE} - 1 - i, i)))"""
     return d.select("word", F.expr(back).alias("ids"))
 
 
+def _packed_edge(cost: int, number: int) -> int:
+    return (cost << _ID_BITS | number) << _LENGTH_BITS
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every row of ``docs``: the ids of its pieces.
 
@@ -163,8 +179,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     table = piece_table(path)
-    pieces = spark.createDataFrame(table, "piece string, id int, cost double")
+    pieces = spark.createDataFrame([(p, _packed_edge(c, i)) for p, i, c in table], "piece string, edge long")
     longest = max(len(p) for p, _, _ in table)
+    if longest > 1 << _LENGTH_BITS:
+        raise ValueError(f"a piece is longer than {1 << _LENGTH_BITS} characters")
+    # Grouping falls back to sorting beyond so many groups; the words of a task are meant to stay below.
+    limit = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    spark.conf.set(limit, str(max(int(spark.conf.get(limit)), GROUPED_WORDS)))
     bytes_of = byte_ids(path)
 
     chunks = _packed(docs).repartition(blocks, "chunk")
