@@ -293,18 +293,19 @@ def test_components(spark):
 
 def cheapest(word, table, spelt):
     m = word.replace(piece_lattice.MARK, piece_lattice.OWN).replace(" ", piece_lattice.MARK)
-    best = [(0.0, 0, None)] + [None] * len(m)
+    own = {piece_lattice.OWN: piece_lattice.MARK}
+    best = [(0, 0, 0)] + [None] * len(m)
     for e in range(1, len(m) + 1):
         for s in range(max(0, e - 16), e):
-            hit = table.get(m[s:e]) or ((None, 1000.0) if e == s + 1 else None)
-            if hit and (best[e] is None or best[s][0] + hit[1] < best[e][0]):
-                best[e] = (best[s][0] + hit[1], s, hit[0] if hit[0] is not None else m[s])
+            lost = (10**7 + ord(own.get(m[s], m[s])), 50 * piece_lattice.SCALE) if e == s + 1 else None
+            hit = table.get(m[s:e]) or lost
+            if hit:
+                best[e] = min(best[e] or (10**18,), (best[s][0] + hit[1], hit[0], e - s))
     out, n = [], len(m)
     while n:
-        out.append(best[n][2])
-        n = best[n][1]
-    own = {piece_lattice.OWN: piece_lattice.MARK}
-    return [i for x in reversed(out) for i in ([x] if isinstance(x, int) else [spelt[b] for b in own.get(x, x).encode()])]
+        out.append(best[n][1])
+        n -= best[n][2]
+    return [i for x in reversed(out) for i in ([x] if x < 10**7 else [spelt[b] for b in chr(x - 10**7).encode()])]
 
 
 def test_pieces_are_the_cheapest_and_spell_the_text(spark, docs, odd, none):
