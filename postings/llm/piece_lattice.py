@@ -94,7 +94,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     """(chunk, data): documents by the megabyte, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
 
         def out() -> pa.RecordBatch:
             data = squeeze.compress(pickle.dumps((ids, texts), 5))
@@ -217,18 +217,32 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     # A word's block follows from the word alone.
     known = known.select((F.crc32("word") % blocks).cast("int").alias("block"), "word", "ids")
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words and ids of a task, one compressed row per block."""
+        squeeze = zstandard.ZstdCompressor(level=3)
+        held: list[tuple[list[str], list[np.ndarray]]] = [([], []) for _ in range(blocks)]
+        for b in batches:
+            lengths = np.asarray(pc.list_value_length(b.column("ids")))
+            flat, ends = np.asarray(b.column("ids").flatten(), np.int32), np.cumsum(lengths)
+            for block, word, end, n in zip(b.column("block").to_pylist(), b.column("word").to_pylist(), ends.tolist(), lengths.tolist()):
+                held[block][0].append(word)
+                held[block][1].append(flat[end - n:end])
+        rows = [(k, squeeze.compress(pickle.dumps((w, np.array([len(x) for x in v], np.int32), np.concatenate(v)), 5))) for k, (w, v) in enumerate(held) if w]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["block", "known"])
+
+    known = known.mapInArrow(pack, "block int, known binary")
+
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         """The ids of every asked word, chunk by chunk, in the order asked."""
-        flat = np.asarray(right.column("ids").combine_chunks().flatten(), np.int32)
-        ends = np.cumsum(np.asarray(pc.list_value_length(right.column("ids").combine_chunks())))
-        starts = np.concatenate(([0], ends[:-1]))
-        at = dict(zip(right.column("word").to_pylist(), zip(starts.tolist(), ends.tolist())))
-        squeeze = zstandard.ZstdCompressor(level=1)
+        at: dict[str, np.ndarray] = {}
+        for data in right.column("known"):
+            names, lengths, flat = _open(data.as_py())
+            at.update(zip(names, np.split(flat, np.cumsum(lengths)[:-1])))
+        squeeze = zstandard.ZstdCompressor(level=3)
         out = []
         for words_ in left.column("words"):
-            pairs = [at[w] for w in _open(words_.as_py())]
-            values = np.concatenate([flat[a:b] for a, b in pairs])
-            out.append(squeeze.compress(pickle.dumps((np.array([b - a for a, b in pairs], np.int32), values), 5)))
+            found = [at[w] for w in _open(words_.as_py())]
+            out.append(squeeze.compress(pickle.dumps((np.array([len(x) for x in found], np.int32), np.concatenate(found)), 5)))
         return pa.table({"chunk": left.column("chunk"), "block": left.column("block"), "ids": pa.array(out, pa.binary())})
 
     answers = asked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, "chunk long, block int, ids binary")
