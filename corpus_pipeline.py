@@ -17,10 +17,21 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles the one with the smallest id stays; ids are unique."""
+    """Of documents linked by word shingles one row with the smallest id stays, NULL last; of its rows the first by the text's hash.
+
+    Rows are told apart by a number of their own, written once, so ids may repeat or be NULL. Texts without words are
+    alike only if id and text are equal.
+    """
     ship(spark)
-    heads = jaccard_join.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_head"))
-    return docs.join(heads, F.col("doc_id").eqNullSafe(F.col("_head")), "left_semi")
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = jaccard_join.join(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_linked"), (F.col("n_shingles") == 0).alias("_empty"))
+    rows = numbered.select("_row", F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").isNull().alias("_null"))
+    rows = rows.join(found, "_row")
+    alike = [F.when(F.col("_empty"), F.col(c)) for c in ("_id", "_hash", "_null")]
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "_row"))
+    heads = rows.groupBy("_empty", F.when(~F.col("_empty"), F.col("_linked")), *alike).agg(first["_row"].alias("_row"))
+    return numbered.join(heads.select("_row"), "_row", "left_semi").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

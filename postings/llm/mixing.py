@@ -55,7 +55,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[i
     return d.select("no_source", "source_key", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **plan) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None, **plan) -> DataFrame:
     """(id, size, source_size, target, taken) of every row; ``taken`` is in words, repeats counted.
 
     ``taken`` is the whole epochs times the size plus the row's part of the last
@@ -64,7 +64,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     go by id and size, so reruns agree; repeated equal rows are interchangeable.
     NULL or empty text has size 0 and gives nothing; NULL source is a source of
     its own, last in order; a NULL id is an ordinary key. Empty input: no rows.
+    ``row_col`` names a column that tells the rows apart: it comes back as
+    ``row``, and rows of one id are in order of their texts' hash, then by it.
     """
+    rows = [] if row_col is None else ["text_hash", "row"]
     # The text is read once; what follows moves a few numbers per row.
     base = stored(docs.select(
         F.col(id_col).alias("doc_id"),
@@ -72,11 +75,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.coalesce(F.col(source_col), F.lit("")).alias("source_key"),
         word_count(F.col(text_col)).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("key"),
+        *([F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(row_col).alias("row")] if rows else []),
     ))
     by_source = targets(base.groupBy("no_source", "source_key").agg(F.sum("size").alias("source_size")), **plan)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["no_source", "source_key", "key", "doc_id", "size"]
+    order = ["no_source", "source_key", "key", "doc_id", "size", *rows]
     ranged = stored(base.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()))
     spans = ranged.groupBy("no_source", "source_key", "range").agg(F.sum("size").alias("span"))
     ahead = Window.partitionBy("no_source", "source_key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,7 +89,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .join(by_source, ["no_source", "source_key"])
         .drop("span")
     )
-    inside = Window.partitionBy("no_source", "source_key", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("no_source", "source_key", "range").orderBy("key", "doc_id", "size", *rows).rowsBetween(Window.unboundedPreceding, -1)
     d = (
         ranged.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(shifts, ["no_source", "source_key", "range"])
@@ -97,18 +101,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.greatest(F.least(rest - F.col("before"), F.col("size")), F.lit(0))
     return d.select(
         "doc_id", "size", "source_size", "target", (epochs * F.col("size") + part).cast("long").alias("taken"),
-        epochs.alias("epochs"), "no_source", "source_key",
+        epochs.alias("epochs"), "no_source", "source_key", *rows[1:],
     )
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: whole epochs repeat a row, the row at the cut keeps its first words.
 
-    A text cut short ends right after its last word taken. Rows are matched to their share by id, so ids must be unique;
-    rows without words are in no mix.
+    A text cut short ends right after its last word taken. Ids may repeat or be NULL: rows are matched to their share by a
+    number of their own, written once. Rows without words are in no mix.
     """
-    shares = mix(docs).where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    rows = docs.join(shares, F.col("doc_id").eqNullSafe(F.col("_id")))
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+    shares = mix(numbered, row_col="_row").where("taken > 0").select(F.col("row").alias("_row"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    rows = numbered.join(shares, "_row")
     words = F.least(F.col("_size"), F.col("_taken") - (F.col("_copy") - 1) * F.col("_size"))
     cut = words < F.col("_size")
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))

@@ -355,6 +355,15 @@ def test_mixture_rows(spark, odd, none):
     assert mixing.mix(none).count() == mixing.mixture(none).count() == 0 and ids(mixing.mix(odd)) == ALL_IDS
 
 
+def test_mixture_of_rows_that_share_an_id_or_have_none(odd):
+    found, wanted = Counter(), {}
+    for r in mixing.mixture(odd).collect():
+        found[r.source] += len(re.findall(WORD, r.text))
+    for r in mixing.mix(odd).collect():
+        wanted[None if r.no_source else r.source_key] = int(r.target)
+    assert dict(found) == {s: n for s, n in wanted.items() if n}
+
+
 # --- 9: repeated strings ---------------------------------------------------------------------------
 
 def cut(known):
@@ -443,6 +452,17 @@ def test_words_are_told_apart():
     assert len(set(zip(names, hashes.tolist()))) == len(set(names)) == len(set(hashes.tolist()))
 
 
+def test_near_copies_of_rows_that_share_an_id_or_have_none(spark, odd):
+    kept = corpus_pipeline.near_copies(spark, odd, SF)
+    assert kept.columns == odd.columns
+    wanted = classes({d: shingles(x) for d, x, *_ in ODD if d is not None})
+    assert ids(kept) == sorted([*(d for d, (_, c) in wanted.items() if d == c), None], key=repr)
+    # NULL ids beside a near copy with an id, one id for two texts that are not alike, repeated rows without words.
+    rows = [(5, LONG), (None, LONG + " end"), (None, PASSAGE), (None, PASSAGE), (5, "one two three"), (7, "four five six"), (7, "four five six"), (8, " "), (8, " ")]
+    kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), SF)
+    assert Counter(map(tuple, kept.collect())) == Counter([(5, LONG), (None, PASSAGE), (5, "one two three"), (7, "four five six"), (8, " ")])
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
 def test_pipeline_stages(spark, docs):
     rows = docs
