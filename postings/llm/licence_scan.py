@@ -71,20 +71,29 @@ RULES = (
 #: Every known sentence holds one of these.
 KEYS = ("licens", "licenc", "copyright", "warrant", "permission", "redistribut", "free software", "rights reserved", "either version", "public domain")
 KEY = "(?i)" + "|".join(k.replace(" ", r"[^a-z0-9]+") for k in KEYS)
-_END = r"([.!?;:])[\x20\x09\x0B-\x0D]+"
+_END = r"[.!?;:][\x20\x09-\x0D]+"
 
 
 def normalised(sentence: str) -> str:
     return re.sub(r"[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-def identifiers(text: Column, sentences: Mapping[str, str], wrapped: bool) -> Column:
-    """The known sentences of a text in order; ``wrapped`` reads a line end as a space."""
-    t = F.translate(text, "\n", " ") if wrapped else text
-    pieces = F.filter(F.split(F.regexp_replace(t, _END, "$1\n"), "\n"), lambda s: s.rlike(KEY))
+def _pattern(sentence: str) -> str:
+    """A sentence from one sentence or line end to another; line ends may stand in it."""
+    return sentence.replace(" ", "[ \n]")
+
+
+def identifiers(text: Column, sentences: Mapping[str, str]) -> Column:
+    """The known sentences of a text in order. A line end may close a sentence or stand in it, at each line anew."""
+    t = F.translate(F.lower(text), "\x01", " ")
+    for old, new in ((_END, "\x01"), ("[^a-z0-9\x01\n]+", " "), ("[ \n]*\x01[ \n\x01]*", "\x01"), (" ?\n[ \n]*", "\n")):
+        t = F.regexp_replace(t, old, new)
+    # Longer sentences are tried first, so none is taken for its own beginning.
+    either = "|".join(_pattern(x) for x in sorted(sentences.values(), key=len, reverse=True))
+    found = F.regexp_extract_all(F.trim(t), F.lit(f"(?<![^\x01\n])(?:{either})(?![^\x01\n])"), F.lit(0))
     known = F.map_from_arrays(F.array(*map(F.lit, sentences.values())), F.array(*map(F.lit, sentences)))
-    plain = F.transform(pieces, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+
+    return F.transform(found, lambda x: F.element_at(known, F.translate(x, "\n", " ")))
 
 
 def _holds(sequence: Column, rule: Sequence[str]) -> Column:
@@ -100,19 +109,14 @@ def scan(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Seque
     """(doc_id, sentence_ids, licences) of every row: identifiers in text order, licences distinct in rule order.
 
     NULL, empty and licence-free texts have empty arrays; a sentence that repeats is in the sequence each time; repeated
-    rows get equal results. A sentence that runs over line ends is read as well as one that a line end closes:
-    the reading that knows more sentences counts. Other columns are ignored.
+    rows get equal results. Other columns are ignored.
     """
     for name, sentence in sentences.items():
         if not re.search(KEY, sentence) or normalised(sentence) != sentence:
             raise ValueError(f"sentence {name} is not normalised or holds no key word")
     none = F.array().cast("array<string>")
     d = docs.select("doc_id", "text").withColumn("holds", F.coalesce(F.col("text").rlike(KEY), F.lit(False)))
-    d = d.withColumns({
-        "lines": F.when(F.col("holds"), identifiers(F.col("text"), sentences, False)).otherwise(none),
-        "folded": F.when(F.col("holds"), identifiers(F.col("text"), sentences, True)).otherwise(none),
-    })
-    d = d.select("doc_id", F.when(F.size("folded") > F.size("lines"), F.col("folded")).otherwise(F.col("lines")).alias("sentence_ids"))
+    d = d.select("doc_id", F.when(F.col("holds"), identifiers(F.col("text"), sentences)).otherwise(none).alias("sentence_ids"))
     found = F.array_compact(F.array(*[F.when(_holds(F.col("sentence_ids"), ids), F.lit(name)) for name, ids in rules]))
     return d.withColumn("licences", F.when(F.size("sentence_ids") > 0, F.array_distinct(found)).otherwise(none))
 

@@ -196,6 +196,14 @@ def test_licences_of_odd_rows(spark, odd, none):
     assert {r.doc_id: r.licences for r in licence_scan.scan(rows).collect()} == {1: ["GPL-3.0-or-later"], 2: [], 3: ["GPL-2.0-or-later"]}
 
 
+def test_licences_of_lines_and_of_wrapped_sentences_are_both_found(spark):
+    gpl = "This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version."
+    rows = [(1, f"Released under the MIT License\nSome words here.\n\n{gpl}"), (2, f"Released under the MIT License\n{gpl}"), (3, f"{gpl}\nLicensed under CC BY 4.0\nReleased under the MIT License\nAll rights reserved\nLicensed under the BSD License\nand more")]
+    found = {r.doc_id: set(r.licences) for r in licence_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    both = {"MIT", "GPL-2.0-or-later"}
+    assert found == {1: both, 2: both, 3: both | {"CC-BY-4.0", "proprietary", "BSD"}}
+
+
 # --- 4: token codes ----------------------------------------------------------------------------
 
 def test_codes_round_trip():
