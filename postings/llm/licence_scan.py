@@ -45,6 +45,12 @@ SENTENCES = {
     "reserved": "all rights reserved",
 }
 
+#: Sentences as notices in use have them besides; the SQL twin has only those above.
+PUBLISHED = {
+    "gpl-terms-3": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-terms-2": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+}
+
 # In order; a licence is named by its public short identifier.
 RULES = (
     ("Apache-2.0", ("apache-the", "apache-comply", "apache-copy")),
@@ -68,10 +74,26 @@ RULES = (
     ("proprietary", ("reserved",)),
 )
 
+PUBLISHED["apache-copy-url"] = SENTENCES["apache-copy"] + " http www apache org licenses license 2 0"
+PUBLISHED["apache-copy-asis"] = PUBLISHED["apache-copy-url"] + " " + SENTENCES["apache-asis"]
+PUBLISHED_RULES = (
+    ("Apache-2.0", ("apache-the", "apache-comply", "apache-copy-url")),
+    ("Apache-2.0", ("apache-the", "apache-comply", "apache-copy-asis")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl-terms-2")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl-terms-3")),
+)
+
 #: Every known sentence holds one of these.
 KEYS = ("licens", "licenc", "copyright", "warrant", "permission", "redistribut", "free software", "rights reserved", "either version", "public domain")
 KEY = "(?i)" + "|".join(k.replace(" ", r"[^a-z0-9]+") for k in KEYS)
 _END = r"[.!?;:][\x20\x09-\x0D]+"
+#: May stand before and after a sentence of these beginnings.
+_SHORT = ("licensed under ", "released under ")
+_LEAD = r"(?:(?:this|the|all)[ \n](?:[a-z0-9]+[ \n]){0,4}?(?:is|are)[ \n])?"
+#: May stand before a notice that a heading is run together with.
+_HEAD = r"(?:(?:[a-z0-9]+[ \n]){0,4}copyright[ \n](?:[a-z0-9]+[ \n]){1,12}?)?"
+_NOTICE = ("permission ", "redistribution ", "licensed under the apache license ")
+_TAIL = r"(?:[ \n](?:see|read)[ \n](?:the[ \n])?(?:[a-z0-9]+[ \n])?licen[sc]e(?:[ \n](?:md|txt|file))*(?:[ \n]for[ \n](?:more[ \n])?(?:details|information))?)?"
 
 
 def normalised(sentence: str) -> str:
@@ -79,8 +101,9 @@ def normalised(sentence: str) -> str:
 
 
 def _pattern(sentence: str) -> str:
-    """A sentence from one sentence or line end to another; line ends may stand in it."""
-    return sentence.replace(" ", "[ \n]")
+    """A sentence from one sentence or line end to another; line ends may stand in it, and after "v." goes a number."""
+    words = sentence.replace(" v ", " v\x01").replace(" ", "[ \n]").replace("\x01", "[ \n\x01]")
+    return (_HEAD if sentence.startswith(_NOTICE) else "") + (_LEAD + words + _TAIL if sentence.startswith(_SHORT) else words)
 
 
 def identifiers(text: Column, sentences: Mapping[str, str]) -> Column:
@@ -93,7 +116,12 @@ def identifiers(text: Column, sentences: Mapping[str, str]) -> Column:
     found = F.regexp_extract_all(F.trim(t), F.lit(f"(?<![^\x01\n])(?:{either})(?![^\x01\n])"), F.lit(0))
     known = F.map_from_arrays(F.array(*map(F.lit, sentences.values())), F.array(*map(F.lit, sentences)))
 
-    return F.transform(found, lambda x: F.element_at(known, F.translate(x, "\n", " ")))
+    def identifier(match: Column) -> Column:
+        whole = F.translate(match, "\n\x01", "  ")
+        short = F.regexp_replace(F.regexp_replace(whole, f"^{_HEAD}(?={'|'.join(_NOTICE)})|^{_LEAD}(?={'|'.join(_SHORT)})", ""), f"{_TAIL}$", "")
+        return F.coalesce(F.try_element_at(known, whole), F.try_element_at(known, short))
+
+    return F.filter(F.transform(found, identifier), lambda i: i.isNotNull())
 
 
 def _holds(sequence: Column, rule: Sequence[str]) -> Column:
@@ -105,7 +133,7 @@ def _holds(sequence: Column, rule: Sequence[str]) -> Column:
     return F.exists(starts, lambda i: F.slice(sequence, i, len(rule)) == wanted)
 
 
-def scan(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> DataFrame:
+def scan(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES | PUBLISHED, rules: Sequence[tuple[str, Sequence[str]]] = RULES + PUBLISHED_RULES) -> DataFrame:
     """(doc_id, sentence_ids, licences) of every row: identifiers in text order, licences distinct in rule order.
 
     NULL, empty and licence-free texts have empty arrays; a sentence that repeats is in the sequence each time; repeated

@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -204,6 +205,43 @@ def test_licences_of_lines_and_of_wrapped_sentences_are_both_found(spark):
     assert found == {1: both, 2: both, 3: both | {"CC-BY-4.0", "proprietary", "BSD"}}
 
 
+NOTICES = {
+    "Apache-2.0": """Copyright 2020 Ann Name\n\nLicensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "MIT": """MIT License\n\nCopyright (c) 2020 Ann Name\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE.""",
+    "BSD": "Copyright (c) 2020, Ann Name\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice.",
+    "ISC": "Copyright 2020 Ann Name\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "GPL-2.0-or-later": "A program\n\nThis program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0-or-later": "A program\n\nThis program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-3.0-only": "This work is licensed under the GNU General Public License version 3.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC0-1.0": "This work is dedicated to the public domain under CC0 1.0.",
+}
+
+
+def test_published_notices_wrapped_and_unwrapped(spark):
+    def wrapped(x, width):
+        return "\n".join("\n".join(textwrap.wrap(line, width)) for line in x.split("\n"))
+
+    rows = [(name, f(x)) for name, x in NOTICES.items() for f in (
+        str, lambda x: wrapped(x, 40), lambda x: wrapped(x, 76), lambda x: "# " + wrapped(x, 60).replace("\n", "\n# "), lambda x: wrapped(x, 60).replace("\n", "\r\n"))]
+    rows += [(n, NOTICES[n].split("\n\n", 1)[-1].replace("\n\n", " ")) for n in NOTICES]
+    rows += [("MIT", f"{x}the MIT license{y}") for x in ("This project is licensed under ", "The source code of this is released\nunder ", "Licensed under ")
+             for y in ("", ".", " - see the LICENSE file for details.", ", see [LICENSE](LICENSE.md)\n")]
+    rows += [(None, x) for x in ("Nobody is licensed under the MIT license to sing.", "The MIT license", "Mozilla Public License, v. 1.1", NOTICES["MPL-2.0"].replace("v. 2.0", "v. 1.1"))]
+    d = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(rows)], "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in licence_scan.scan(d).collect()}
+    assert [(x, found[k]) for k, (n, x) in enumerate(rows) if found[k] != ([n] if n else [])] == []
+
+
 # --- 4: token codes ----------------------------------------------------------------------------
 
 def test_codes_round_trip():
