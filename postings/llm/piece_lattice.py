@@ -1,7 +1,7 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
-A text is a space-marked string; no piece runs over a space or a line end, so
-words are segmented apart, each distinct word once. Its substrings up to the
+A text is a space-marked string; no piece runs over a line end or from another
+character to a space, so a run of spaces and the word after it are segmented apart, each distinct word once. Its substrings up to the
 longest piece are exploded and equi-joined to the piece table; the matches,
 grouped by word, are the edges of its lattice, and a higher-order aggregate folds
 them into the cheapest path. A character without a piece takes its UTF-8 bytes' pieces.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import pickle
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -41,26 +42,31 @@ SCALE = 10_000
 _UNKNOWN = 50 * SCALE
 _LENGTH_BITS, _ID_BITS = 4, 22
 _NO_PIECE = 1 << 21
-#: Longer words are cut here, so that the cost of a word fits its bits.
+#: Longer words are cut on their cheapest path into parts of at most so many characters, so that a cost fits its bits.
 LONGEST_WORD = 1 << 16
 #: Words whose edges are grouped in memory at once, some kilobytes each; a task has fewer.
 GROUPED_WORDS = 100_000
 
 
+_WORDS = re.compile(r" *[^ \n]+| +|\n")
+
+
 @cache
 def _model(path: str) -> SentencePieceProcessor:
     return SentencePieceProcessor(model_file=path)
 
 
 def piece_table(path: str) -> list[tuple[str, int, int]]:
-    """(piece, id, cost) of every piece that may stand in a word: no control or byte piece, and a space mark only in front."""
+    """(piece, id, cost) of every piece that may stand in a word: no control or byte piece; space marks stand in front."""
     m = _model(path)
     out = []
     for i in range(m.get_piece_size()):
         p = m.id_to_piece(i)
-        if m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i) or MARK in p[1:] or "\n" in p:
+        if m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i):
             continue
-        # The space mark alone has no rank in a pair-encoding model; its number stands for one.
+        if MARK in p.lstrip(MARK) or "\n" in p:
+            raise ValueError(f"piece {i} runs over the end of a word")
+        # A run of space marks has no rank in a pair-encoding model; its number stands for one.
         rank = i if m.get_score(i) < -1e8 else max(0.0, -m.get_score(i))
         out.append((p, i, round(SCALE * math.log(2 + rank))))
     return out
@@ -72,24 +78,63 @@ def byte_ids(path: str) -> list[int]:
     return [m.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
 
 
-def words_of(text: str) -> list[str]:
-    """The words of a text, a space in front of each as in the marked string; line ends are words of their own."""
-    out: list[str] = []
-    for n, line in enumerate(text.split("\n")):
-        if n:
-            out.append("\n")
-        parts = line.split(" ")
-        if n == 0:
-            out += [" " + w for w in parts]
-        else:
-            if parts[0]:
-                out.append(parts[0])
-            out += [" " + w for w in parts[1:]]
-    if len(text) > LONGEST_WORD:
-        out = [w[k:k + LONGEST_WORD] for w in out for k in range(0, len(w), LONGEST_WORD)]
+def words_of(text: str, edges: dict[str, int] | None = None) -> list[str]:
+    """The words of a text, the spaces before each in front as in the marked string; line ends are words of their own.
+
+    With ``edges``, of ``packed_edges``, longer words than ``LONGEST_WORD`` are in parts.
+    """
+    if "  " in text or text.startswith(" "):
+        out = _WORDS.findall(" " + text)
+    else:
+        out = []
+        for n, line in enumerate(text.split("\n")):
+            if n:
+                out.append("\n")
+            parts = line.split(" ")
+            if n == 0:
+                out += [" " + w for w in parts]
+            else:
+                if parts[0]:
+                    out.append(parts[0])
+                out += [" " + w for w in parts[1:]]
+    if edges is not None and len(text) >= LONGEST_WORD:
+        out = [x for w in out for x in ([w] if len(w) <= LONGEST_WORD else _parts(w, edges))]
     return out
 
 
+def packed_edges(table: list[tuple[str, int, int]]) -> dict[str, int]:
+    """Cost and id of each piece as one number, the length left open."""
+    return {p: _packed_edge(c, i) for p, i, c in table}
+
+
+def _parts(word: str, edges: dict[str, int]) -> list[str]:
+    """A long word cut at places of its cheapest path, so that its parts' cheapest paths make up the whole one."""
+    marked, longest = word.replace(MARK, OWN).replace(" ", MARK), max(map(len, edges))
+    id_mask = (1 << _LENGTH_BITS + _ID_BITS) - 1
+    costs, back = [0] * longest, bytearray(len(word) + 1)
+    for e in range(1, len(marked) + 1):
+        best, length = None, 1
+        for n in range(1, min(longest, e) + 1):
+            edge = edges.get(marked[e - n:e])
+            if edge is None:
+                if n > 1:
+                    continue
+                c = marked[e - 1]
+                edge = _packed_edge(_UNKNOWN, _NO_PIECE) + (ord(MARK if c == OWN else c) << _LENGTH_BITS)
+            way = (costs[(e - n) % longest] << _LENGTH_BITS + _ID_BITS) + edge + n - 1
+            if best is None or way < best:
+                best, length = way, n
+        costs[e % longest], back[e] = (best & ~id_mask) >> _LENGTH_BITS + _ID_BITS, length
+    cuts, e = [len(word)], len(word)
+    while e:
+        before = e - back[e]
+        if cuts[-1] - before > LONGEST_WORD:
+            cuts.append(e)
+        e = before
+    cuts = [0, *reversed(cuts)]
+    return [word[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """(chunk, data): documents by the megabyte, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,11 +164,11 @@ def _open(data: bytes) -> tuple:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
-def _chunk_words(data: bytes) -> list[str]:
+def _chunk_words(data: bytes, edges: dict[str, int]) -> list[str]:
     """The distinct words of a chunk, in order."""
     found: set[str] = set()
     for text in _open(data)[1]:
-        found.update(words_of(text))
+        found.update(words_of(text, edges))
     return sorted(found)
 
 
@@ -179,7 +224,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     blocks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     table = piece_table(path)
-    pieces = spark.createDataFrame([(p, _packed_edge(c, i)) for p, i, c in table], "piece string, edge long")
+    edges = packed_edges(table)
+    pieces = spark.createDataFrame(list(edges.items()), "piece string, edge long")
+    shared = spark.sparkContext.broadcast(edges)
     longest = max(len(p) for p, _, _ in table)
     if longest > 1 << _LENGTH_BITS:
         raise ValueError(f"a piece is longer than {1 << _LENGTH_BITS} characters")
@@ -194,7 +241,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1)
         for b in batches:
             for chunk, data in zip(b.column(0).to_pylist(), b.column(1)):
-                rows = [(k, squeeze.compress(pickle.dumps(w, 5))) for k, w in enumerate(_blocked(_chunk_words(data.as_py()), blocks)) if w]
+                rows = [(k, squeeze.compress(pickle.dumps(w, 5))) for k, w in enumerate(_blocked(_chunk_words(data.as_py(), shared.value), blocks)) if w]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
                     ["block", "chunk", "words"])
@@ -257,14 +304,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         spelt: dict[str, bytes] = {}
         by_block = dict(zip(right.column("block").to_pylist(), right.column("ids")))
         for data in left.column("data"):
-            for block, words_ in enumerate(_blocked(_chunk_words(data.as_py()), blocks)):
+            for block, words_ in enumerate(_blocked(_chunk_words(data.as_py(), shared.value), blocks)):
                 if not words_:
                     continue
                 lengths, values = _open(by_block[block].as_py())
                 values, lengths = _spelt_out(values, lengths, bytes_of)
                 raw, cuts = values.astype("<i4").tobytes(), np.concatenate(([0], np.cumsum(lengths))) * 4
                 spelt.update(zip(words_, [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
-        coded = [b"".join(map(spelt.__getitem__, words_of(t))) for t in texts]
+        coded = [b"".join(map(spelt.__getitem__, words_of(t, shared.value))) for t in texts]
         lengths = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded])))
         lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32()))
         return pa.table({"doc_id": pa.array(ids, pa.int64() if kind == "bigint" else None), "ids": lists})

@@ -368,6 +368,25 @@ def test_pieces_are_the_cheapest_and_spell_the_text(spark, docs, odd, none):
     assert piece_lattice.encode(none, PIECES).count() == 0
 
 
+def test_runs_of_spaces_and_long_words_take_the_cheapest_path(spark, monkeypatch):
+    monkeypatch.setattr(piece_lattice, "LONGEST_WORD", 50)
+    listed = piece_lattice.piece_table(PIECES)
+    model = piece_lattice._model(PIECES)
+    assert {i for i in range(model.get_piece_size()) if set(model.id_to_piece(i)) == {piece_lattice.MARK}} <= {i for _, i, _ in listed}
+    table, spelt = {p: (i, c) for p, i, c in listed}, piece_lattice.byte_ids(PIECES)
+    rng = np.random.default_rng(9)
+    rows = ["       x", "a" + " " * 7 + "b", "if x:\n        return  1 \n\n   ", " ", " " * 300, " " * 77 + "end", "a" * 333, "internationalization" * 20, "\u65e5\u2581" * 120]
+    rows += ["".join(rng.choice(list("etaoin sh\n\ue123"), 400)) for _ in range(6)]
+    d = spark.createDataFrame([(k, x) for k, x in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.ids for r in piece_lattice.encode(d, PIECES).collect()}
+    assert got == {k: [i for line in re.findall(r"[^\n]+|\n", " " + x) for i in cheapest(line, table, spelt)] for k, x in enumerate(rows)}
+    assert {r.doc_id: r.text for r in piece_lattice.decode(piece_lattice.encode(d, PIECES), PIECES).collect()} == dict(enumerate(rows))
+    edges = piece_lattice.packed_edges(listed)
+    for k, x in enumerate(rows):  # here, since workers have the usual bound
+        sliced = piece_lattice.words_of(x, edges)
+        assert all(len(w) <= 50 for w in sliced) and [i for w in sliced for i in cheapest(w, table, spelt)] == got[k]
+
+
 # --- 8: mixing ---------------------------------------------------------------------------------
 
 def test_targets_by_filling_again_and_again(spark):
