@@ -369,6 +369,27 @@ def spans(n_bytes: int, places: list[bytes] | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _frequent(counts: DataFrame, least: int) -> np.ndarray:
+    """The anchors above ``least`` and a millionth of all, in order; only those come to the driver."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(int(c[0]) for c in held if len(c) == 1)], pa.int64())], ["total"])
+
+    total = counts.mapInArrow(summed, "total long").agg(F.sum("total")).first()[0] or 0
+    bar = max(least, total // 1_000_000)
+
+    def above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0):
+                c = np.frombuffer(x.as_buffer(), np.int64)
+                if len(c) > 1:
+                    anchor, count = c.reshape(2, -1)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor[count > bar])], ["anchor"])
+
+    return np.sort(np.asarray(counts.mapInArrow(above, "anchor long").toArrow()["anchor"]).astype(np.int64).view(np.uint64))
+
+
 def removals(docs: DataFrame, columns: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """(columns, _n_bytes, _spans, _kept) of every row: the removed runs of bytes and what is left of the text's bytes,
     or with ``as_text`` of its whole characters.
@@ -387,10 +408,7 @@ def removals(docs: DataFrame, columns: list[str] | None = None, as_text: bool =
 
     found = stored(_repeated(d, blocks))
     flags = found.where("t IS NOT NULL").groupBy("t").agg(F.collect_list("places").alias("places"))
-    counts = [np.frombuffer(r.places, np.int64) for r in found.where("t IS NULL").select("places").toLocalIterator()]
-    total = sum(int(c[0]) for c in counts if len(c) == 1)
-    pairs = np.concatenate([np.zeros((2, 0), np.int64), *[c.reshape(2, -1) for c in counts if len(c) > 1]], 1)
-    frequent = np.sort(pairs[0, pairs[1] > max(FREQUENT, total // 1_000_000)].view(np.uint64))
+    frequent = _frequent(found.where("t IS NULL").select("places"), FREQUENT)
 
     runs = stored(_covered(d, flags, firsts, frequent, blocks))
     late = _rest(runs.where("t IS NULL"), blocks)

@@ -462,6 +462,21 @@ def test_repeats_in_odd_rows(spark, odd, none):
     assert 13 not in ids(kept) and {1, 2, 3} <= set(ids(kept))
 
 
+def test_only_anchors_above_the_bar_come_to_the_driver(spark, monkeypatch):
+    def packed(*x):
+        return (np.array(x, np.int64).tobytes(),)
+
+    rows = [packed(3_000_000_000), packed([-5, 7, 8], [2000, 9000, 3000]), packed([1], [3001]), packed(1_000)]
+    counts = spark.createDataFrame(rows, "places binary").repartition(2)
+    brought = []
+    arrow = type(counts).toArrow
+    monkeypatch.setattr(type(counts), "toArrow", lambda self: brought.append(arrow(self)) or brought[-1])
+    assert suffix_dedup._frequent(counts, 500).tolist() == [1, 7] and [t.num_rows for t in brought] == [2]
+    assert suffix_dedup._frequent(counts, 5000).tolist() == [7] and len(suffix_dedup._frequent(counts.limit(0), 500)) == 0
+    signed = spark.createDataFrame([packed([-5, 7], [600, 700])], "places binary")
+    assert suffix_dedup._frequent(signed, 500).tolist() == [7, 2**64 - 5]
+
+
 def test_blind_trie_classes():
     rng = np.random.default_rng(8)
     data = rng.integers(97, 99, 3000).astype(np.uint8)
