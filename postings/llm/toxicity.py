@@ -1,6 +1,8 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
-A token is the stem of a run of letters: its first bytes, case folded. Its score
+A token is the stem of a run of letters: its first letters, case folded. Runs
+longer than words are, and runs of scripts that set no spaces, are cut into
+overlapping grams instead, so every letter is in a token. A token's score
 is the log-odds of the token in toxic against other labelled texts under
 Dirichlet priors, drawn towards zero by its standard error, less a constant
 drift, so that clean prose scores negative. All maximal segments of a text are
@@ -11,8 +13,10 @@ text add up to its statistic, which a logistic curve turns into a probability.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +35,52 @@ EXPECTED = 0.05
 THRESHOLD = 0.5
 _U = np.uint64
 
-_LETTER = np.zeros(256, np.int8)
-for _span in (range(65, 91), range(97, 123), range(128, 256)):
-    _LETTER[list(_span)] = 1
+#: A longer run of letters is no word.
+LONGEST_WORD = 24
+#: Letters in a gram: of runs longer than words, of Chinese and Japanese, of Thai and its like.
+GRAM = np.array([0, STEM, 2, 4])
+_CHINESE = ((0x2E80, 0x3100), (0x31C0, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, 0x40000))
+_THAI = ((0x0E00, 0x1000), (0x1000, 0x10A0), (0x1780, 0x1800), (0x1950, 0x1AB0), (0xA9E0, 0xAA00), (0xAA60, 0xAAE0))
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 0 no letter, else its place in ``GRAM``. Marks belong to their letters."""
+    kind = np.zeros(0x110000, np.int8)
+    kind[[i for i in range(0x40000) if unicodedata.category(chr(i))[0] in "LM"]] = 1
+    kind[0xE0100:0xE01F0] = 1
+    for k, spans in ((2, _CHINESE), (3, _THAI)):
+        for a, b in spans:
+            kind[a:b][kind[a:b] > 0] = k
+    return kind
+
+
+def _points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, and the byte each starts at, the end last."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    lead = data[starts].astype(np.int32)
+    more = np.digitize(lead, [0xC0, 0xE0, 0xF0])
+    point = np.where(more == 0, lead, lead & (0x3F >> more))
+    for k in (1, 2, 3):
+        wide = np.flatnonzero(more >= k)
+        point[wide] = point[wide] << 6 | (data[np.minimum(starts[wide] + k, len(data) - 1)] & 0x3F)
+    return point, np.append(starts, len(data))
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, bucket, start, end) of every token of a slice of texts."""
-    starts, ends = runs(_LETTER[data], offsets)
-    stem = hashes(FOLD[data], starts, np.minimum(ends, starts + STEM))
+    point, at = _points(data)
+    kinds = _kinds()[point]
+    starts, ends = runs(kinds, np.searchsorted(at, offsets))
+    kind, length = kinds[starts], ends - starts
+    gram = GRAM[kind]
+    cut = (kind > 1) | (length > LONGEST_WORD)
+    count = np.where(cut, np.maximum(length - gram + 1, 1), 1)
+    run = np.repeat(np.arange(len(starts)), count)
+    first = starts[run] + np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    last = np.minimum(first + gram[run], ends[run])
+    stem = hashes(FOLD[data], at[first], at[last])
+    starts, ends = at[first], at[np.where(cut[run], last, ends[run])]
     return row_of(starts, offsets), (stem >> _U(64 - bits)).astype(np.int64), starts, ends
 
 

@@ -115,6 +115,31 @@ def test_segments_are_the_maximal_ones():
         assert [(a, b) for a, b, _ in toxicity.segments(np.stack((total[k], total[k + 1]), 1), k)] == brute(list(s))
 
 
+def test_every_letter_is_in_a_token_and_only_letters_are():
+    def spans(*rows):
+        raw = "".join(rows).encode()
+        offsets = np.cumsum([0, *(len(x.encode()) for x in rows)])
+        row, bucket, starts, ends = toxicity.tokens(np.frombuffer(raw, np.uint8), offsets)
+        return [(int(r), raw[a:b].decode()) for r, a, b in zip(row, starts, ends)], bucket
+
+    def plain(x):
+        return [w for _, w in spans(x)[0]], spans(x)[1].tolist()
+
+    words, plainly = plain("one two toxicity")
+    for x in ("one\u00a0two\u2014toxicity", "\u201cone\u201d two \u2018toxicity\u2019", "one\u3001two \U0001f600toxicity"):
+        assert plain(x) == (words, plainly)
+    assert words == ["one", "two", "toxicity"]
+    assert plain("\u00e9t\u00e9s\u00e9s")[1] == plain("\u00e9t\u00e9s\u00e9")[1] != plain("\u00e9t\u00e9s")[1]
+    assert plain("\u4f60\u662f\u574f\u4eba\u3002\u597d")[0] == ["\u4f60\u662f", "\u662f\u574f", "\u574f\u4eba", "\u597d"]
+    assert set(plain("\u574f\u4eba")[1]) < set(plain("\u4f60\u662f\u574f\u4eba")[1])
+    long, held = plain("x" * 30 + "toxicity" + "y" * 30)
+    assert len(long) == 64 and plainly[2] in held
+    thai = "\u0e2a\u0e27\u0e31\u0e2a\u0e14\u0e35\u0e04\u0e23\u0e31\u0e1a"
+    assert plain(thai)[0] == [thai[k:k + 4] for k in range(len(thai) - 3)]
+    assert spans("", "a\u4f60b", "", "c \U00020000")[0] == [(1, "a"), (1, "\u4f60"), (1, "b"), (3, "c"), (3, "\U00020000")]
+    assert plain("")[0] == plain("12 \u2014!")[0] == []
+
+
 # --- 2: quality rules ----------------------------------------------------------------------
 
 def base(x):
