@@ -125,21 +125,21 @@ def segments(bounds: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float]]
     """All maximal scoring segments as (first token, last token, score), in one scan.
 
     A segment starts and ends at a token that gains, so only those are scanned: ``at`` are their numbers, and
-    ``bounds`` the running sum of all scores before and after each.
+    ``bounds`` the running sum of all scores before and after each. Each segment has a link to the nearest earlier one
+    with a lower sum before it.
     """
     found: list[list[float]] = []
-    for (left, right), k in zip(bounds, at):
-        found.append([k, k, left, right])
-        while True:
-            current = found[-1]
-            j = len(found) - 2
-            while j >= 0 and found[j][2] >= current[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= current[3]:
-                break
-            found[j] = [found[j][0], current[1], found[j][2], current[3]]
+    for left, right, k in zip(bounds[:, 0].tolist(), bounds[:, 1].tolist(), at.tolist()):
+        j = len(found) - 1
+        while j >= 0 and found[j][2] >= left:
+            j = found[j][4]
+        found.append([k, k, left, right, j])
+        # A segment made longer keeps its sum before and its link.
+        while j >= 0 and found[j][3] < right:
+            found[j][1], found[j][3] = k, right
             del found[j + 1:]
-    return [(int(a), int(b), float(right - left)) for a, b, left, right in found]
+            j = found[j][4]
+    return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
 def passages(texts: pa.Array, model: Model, expected: float = EXPECTED) -> Iterator[tuple[float, list[tuple[int, int, float]]]]:

@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -115,6 +116,16 @@ def test_segments_are_the_maximal_ones():
         assert [(a, b) for a, b, _ in toxicity.segments(np.stack((total[k], total[k + 1]), 1), k)] == brute(list(s))
 
 
+def test_segments_of_a_long_text_with_falling_sums():
+    n = 30_000
+    s = np.tile([1.0, -1.5], n)
+    total = np.concatenate(([0], np.cumsum(s)))
+    k = np.flatnonzero(s > 0)
+    began = time.process_time()
+    assert toxicity.segments(np.stack((total[k], total[k + 1]), 1), k) == [(int(i), int(i), 1.0) for i in k]
+    assert time.process_time() - began < 5
+
+
 def test_every_letter_is_in_a_token_and_only_letters_are():
     def spans(*rows):
         raw = "".join(rows).encode()
