@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postings.llm import fingerprints, jaccard_join, licence_scan, mixing, piece_lattice, quality_classifier, quality_rules, suffix_dedup, token_codes, toxicity
+from postings.llm import (
+    conversation_repair, fingerprints, hamming_join, jaccard_join, licence_scan, mixing, piece_lattice, quality_classifier, quality_rules,
+    source_divergence, suffix_dedup, token_codes, toxicity,
+)
 from postings.llm.shipping import ship
 from postings.sources.warehouse import stored
 
@@ -65,6 +68,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(documents(spark, sf_dir))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(ship(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_join.join(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_quality_rules": op2_quality_rules,
@@ -76,6 +91,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture": op8_mixture,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_fingerprints": op10_fingerprints,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_hamming_join": op13_hamming_join,
 }
 
 ORACLE = {
@@ -116,4 +134,6 @@ SELECT doc_id, size, source_size, target,
        (epochs * size + greatest(least(budget - epochs * source_size - before, size), 0))::BIGINT AS taken
 FROM e
 """,
+    "op11_source_divergence": source_divergence.ORACLE,
+    "op13_hamming_join": hamming_join.ORACLE,
 }
