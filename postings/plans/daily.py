@@ -13,7 +13,7 @@ from postings.functions import columns
 from postings.operators import dedup
 from postings.operators.quality import enforce
 from postings.operators.sizing import fetched
-from postings.plans import bronze, checks, gold, silver
+from postings.plans import bronze, checks, days, gold, silver
 from postings.sources import warehouse
 from postings.sources.warehouse import replace_days, save_table, save_view, stored
 
@@ -79,9 +79,10 @@ def build(
     rebuilt, whoever loaded it; ``full`` rebuilds all days.
 
     The classified ads are read by the fact, the dimensions and the QA mart, so
-    they are written once, by day; staging stays a view. The fact is read by all
-    marts and is written once as well. Every table is a recovery point: work
-    lost with an executor restarts from the last one.
+    they are written once, by day; staging stays a view. Fact, history and the marts by
+    day are advanced by the days that changed (:mod:`postings.plans.days`), and so are
+    the tests of rows and grains. Every table is a recovery point: work lost with
+    an executor restarts from the last one.
     """
     warehouse.ensure_layers(spark)
     staged = save_view(silver.stage(spark.table(raw_table)), "stg_vacancies")
@@ -90,25 +91,29 @@ def build(
     countries = save_table(gold.dim_country(spark), "marts.dim_country")
     roles = save_table(gold.dim_role(spark), "marts.dim_role")
     companies = save_table(gold.dim_company(ads), "marts.dim_company")
-    versions = save_table(gold.dim_vacancy(ads), "marts.dim_vacancy")
     save_table(gold.dim_location(ads), "marts.dim_location")
     save_table(gold.dim_date(staged), "marts.dim_date")
     save_table(gold.unmatched_titles(ads), "marts.mart_qa_unmatched_titles")
 
-    facts = save_table(gold.fact(ads), "marts.fct_vacancy_daily", "observed_on")
-    save_table(gold.market_daily(facts), "marts.mart_market_daily")
-    save_table(gold.salary_daily(facts, countries), "marts.mart_salary_daily")
-    save_table(gold.salary_disclosure(facts), "marts.mart_salary_disclosure")
-    save_table(gold.city_daily(facts), "marts.mart_city_daily")
+    changed = days.refresh(spark, ADS, spark.table(BUILT), full)
+    facts, versions = spark.table(days.FACTS), spark.table(days.HISTORY)
+    of_changed = (lambda df: df) if changed is None else (lambda df: df.where(F.col("observed_on").isin(changed)))
+    some = of_changed(facts)
+    days.save_days(gold.market_daily(some), "marts.mart_market_daily", changed)
+    days.save_days(gold.salary_daily(some, countries), "marts.mart_salary_daily", changed)
+    days.save_days(gold.salary_disclosure(some), "marts.mart_salary_disclosure", changed)
+    days.save_days(gold.city_daily(some), "marts.mart_city_daily", changed)
+    days.save_days(gold.bi_table(some, countries, roles), "marts.bi_vacancies", changed)
     save_table(gold.company_role(facts), "marts.mart_company_role")
-    save_table(gold.bi_table(facts, countries, roles), "marts.bi_vacancies", "observed_on")
-    return checks.run(staged, ads, facts, versions, companies, countries, roles)
+    if not changed:  # nothing new to test by itself: all of it
+        return checks.run(staged, ads, facts, versions, companies, countries, roles)
+    return checks.run(of_changed(staged), of_changed(ads), some, versions, companies, countries, roles)
 
 
 def run_day(
-    spark: SparkSession, folder: str, *days: str, allow_incomplete: bool = False
+    spark: SparkSession, folder: str, *dates: str, allow_incomplete: bool = False
 ) -> bronze.Load:
     """Load, rebuild and test; raises when a data test fails."""
-    loaded = bronze.load_days(spark, folder, *days, allow_incomplete=allow_incomplete)
+    loaded = bronze.load_days(spark, folder, *dates, allow_incomplete=allow_incomplete)
     enforce(build(spark))
     return loaded

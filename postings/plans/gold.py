@@ -112,6 +112,30 @@ def fact_by_join(daily: DataFrame, versions: DataFrame) -> DataFrame:
     )
 
 
+def fact_of_day(ads: DataFrame, states: DataFrame, yesterday: DataFrame | None) -> DataFrame:
+    """The fact rows of one day, from its ads, their state rows and the fact of the observed day before.
+
+    An ad that was present the day before, is absent now and whose country was
+    collected now leaves its gone row: its last row under the new date. Both
+    joins are by ad; the countries of a day are few and measured.
+    """
+    after = states.select(silver.KEY, "first_seen_on", "version_from")
+    status = ads.join(after, silver.KEY).select(
+        *ads.columns, "version_from", "first_seen_on", F.col(silver.DAY).alias("last_present_on"),
+        (F.col(silver.DAY) == F.col("first_seen_on")).alias("is_new"), F.lit(False).alias("is_gone"))
+    keyed = _with_keys(silver.aged(status))
+    present = keyed.withColumn("vacancy_sk", surrogate_key("source_id", "version_from")).select(*FACT_COLUMNS)
+    if yesterday is None:
+        return present
+    covered = measured_small(ads.select(silver.GUARD, F.col(silver.DAY).alias("_today")).distinct())
+    left = yesterday.where(is_open()).join(ads.select(silver.KEY), silver.KEY, "left_anti").join(covered, silver.GUARD)
+    changed = {
+        "vacancy_daily_sk": surrogate_key("source_id", "_today"), "observed_on": F.col("_today"),
+        "is_new": F.lit(False), "is_gone": F.lit(True),
+    }
+    return present.union(left.select(*[changed.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS]))
+
+
 # --- marts ----------------------------------------------------------------------
 # The fact is unique per ad and day. Where the grouping holds the day, counting
 # rows is counting distinct ads; positions stay a real distinct count.

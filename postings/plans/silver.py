@@ -103,7 +103,11 @@ def daily(
 
     ``covered`` spares a second pass over ads that are not stored (see :func:`coverage`).
     """
-    status = daily_status(ads, KEY, DAY, GUARD, covered, VERSIONED if with_versions else None)
+    return aged(daily_status(ads, KEY, DAY, GUARD, covered, VERSIONED if with_versions else None))
+
+
+def aged(status: DataFrame) -> DataFrame:
+    """Status rows with age and mid salary, without their last day of presence."""
     return status.select(
         *[c for c in status.columns if c != "last_present_on"],
         salary_mid().alias("salary_mid"),

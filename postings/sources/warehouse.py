@@ -6,14 +6,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from datetime import date
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings import fixed
+from postings.operators.sizing import fetched
 
 RAW, STAGING, INTERMEDIATE, MARTS = "raw", "staging", "intermediate", "marts"
 RAW_TABLE = "raw.vacancy_results"
@@ -107,6 +109,18 @@ def _local_folder() -> str:
     return folder
 
 
+def partition_days(spark: SparkSession, table: str) -> list[date]:
+    """The days of a table partitioned by them, in order, from the catalogue alone."""
+    names = (r.partition.split("=")[1] for r in fetched(spark.sql(f"SHOW PARTITIONS {table}"), f"days of {table}"))
+    return sorted(date.fromisoformat(n) for n in names if n != "__HIVE_DEFAULT_PARTITION__")
+
+
+def drop_days(spark: SparkSession, table: str, days: Iterable[date]) -> None:
+    (by,) = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    for day in days:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({by} = DATE'{day}')")
+
+
 def save_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
