@@ -9,7 +9,7 @@ that distance share one, without exception. Sets at 0.85 differ in more than hal
 
 Documents with equal sets are one node. Links are found in two steps, so that no key's group is paired with itself:
 
-1. Every node meets the leader that it shares most keys with; the least node of a key leads it.
+1. Every node meets the leader that it shares most keys with; of a key's nodes that one leads which meets most others over all its keys.
 2. Of each key whose nodes are then in several components, the nodes outside the largest one meet all others of the key.
 
 Nodes meet in tiles of about ``TILE`` rows against a stream of others: first by the distance of signatures, then those that pass by the
@@ -115,32 +115,54 @@ def _near(tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(nodes), tile)), pa.array(roles, pa.int32()), pa.array(nodes)], ["tile", "role", "node"])
 
 
-def _linked(tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch:
-    """Links across components by the overlap of full sets, at least 85 of 100 of the union."""
-    (x, cx, px), (y, cy, py) = _arrays(rows), _arrays(others)
-    sets = [np.frombuffer(v, np.uint64) for v in px]
-    size = np.array([len(s) for s in sets])
-    member, owner = np.concatenate(sets), np.repeat(np.arange(len(x)), size)
-    order = np.argsort(member, kind="stable")
-    member, owner = member[order], owner[order]
-    out = []
-    for j, v in enumerate(py):
-        s = np.frombuffer(v, np.uint64)
-        a = np.searchsorted(member, s, "left")
-        length = np.searchsorted(member, s, "right") - a
-        a, length = a[length > 0], length[length > 0]
-        at = np.repeat(a - (np.cumsum(length) - length), length) + np.arange(length.sum())
-        overlap = np.bincount(owner[at], minlength=len(x))
-        good = np.flatnonzero((100 * overlap >= 85 * (size + len(s) - overlap)) & (cx != cy[j]))
-        # One link to a component says all.
-        out += [(int(x[i]), int(y[j])) for i in good[np.unique(cx[good], return_index=True)[1]]]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+class _Linked:
+    """Links across components by the overlap of full sets, at least 85 of 100 of the union.
+
+    A tile's links only matter by what they join, so one is told only if it joins two parts that no earlier link of
+    the tile does: fewer links than the tile has nodes, however alike they are.
+    """
+
+    def __init__(self) -> None:
+        self.tile, self.head = None, {}
+
+    def __call__(self, tile: int, rows: pa.RecordBatch, others: pa.RecordBatch) -> pa.RecordBatch:
+        if tile != self.tile:
+            self.tile, self.head = tile, {}
+        (x, cx, px), (y, cy, py) = _arrays(rows), _arrays(others)
+        sets = [np.frombuffer(v, np.uint64) for v in px]
+        size = np.array([len(s) for s in sets])
+        member, owner = np.concatenate(sets), np.repeat(np.arange(len(x)), size)
+        order = np.argsort(member, kind="stable")
+        member, owner = member[order], owner[order]
+        out = []
+        for j, v in enumerate(py):
+            s = np.frombuffer(v, np.uint64)
+            a = np.searchsorted(member, s, "left")
+            length = np.searchsorted(member, s, "right") - a
+            a, length = a[length > 0], length[length > 0]
+            at = np.repeat(a - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            overlap = np.bincount(owner[at], minlength=len(x))
+            good = np.flatnonzero((100 * overlap >= 85 * (size + len(s) - overlap)) & (cx != cy[j]))
+            for i in good[np.unique(cx[good], return_index=True)[1]]:
+                if self._joins(int(cx[i]), int(cy[j])):
+                    out.append((int(x[i]), int(y[j])))
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    def _joins(self, a: int, b: int) -> bool:
+        a, b = self._root(a), self._root(b)
+        self.head[a] = b
+        return a != b
+
+    def _root(self, a: int) -> int:
+        while (up := self.head.get(a, a)) != a:
+            self.head[a] = a = self.head.get(up, up)
+        return a
 
 
 def _links(rows: DataFrame, others: DataFrame, signed: DataFrame, labels: DataFrame | None, docs: DataFrame, size: int) -> DataFrame:
     near = stored(_tiles(rows, others, signed, labels, _near, "tile long, role int, node long").distinct())
     sets = _grams(docs, near, size)
-    return stored(_tiles(near.where("role = 0").drop("role"), near.where("role = 1").drop("role"), sets, labels, _linked, "a long, b long"))
+    return stored(_tiles(near.where("role = 0").drop("role"), near.where("role = 1").drop("role"), sets, labels, _Linked(), "a long, b long"))
 
 
 def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
@@ -155,10 +177,13 @@ def join(docs: DataFrame, size: int = SIZE) -> DataFrame:
     members = found.select("doc_id", "n_shingles", "node")
     nodes = stored(found.where("node IS NOT NULL").groupBy("node").agg(F.first("signature").alias("payload")))
     entries = _keyed(nodes.select("node", F.col("payload").alias("signature")))
-    lead = entries.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last")
-    entries = stored(entries.join(lead.select("key", "lead"), "key"))
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    entries = stored(entries.join(shared, "key"))
 
-    # Step 1: each node with the leader that it shares most keys with.
+    # Step 1: each node with the leader that it shares most keys with; the node that meets most others leads a key.
+    central = entries.groupBy("node").agg(F.sum("n").alias("met"))
+    lead = entries.select("key", "node").join(central, "node").groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("lead"))
+    entries = stored(entries.select("key", "node").join(lead, "key"))
     shared = entries.where("node <> lead").groupBy("node", "lead").agg(F.count("*").alias("n"))
     best = stored(shared.groupBy("node").agg(F.max(F.struct("n", "lead"))["lead"].alias("lead")))
     homes = stored(_dealt(best.select(F.col("lead").alias("node"), F.col("lead").alias("home")).distinct()).select("node", "tile"))
