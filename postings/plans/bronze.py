@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postings.operators import gate
 from postings.operators.sizing import fetched
-from postings.sources import landing, warehouse
+from postings.sources import landing, manifest, warehouse
 
 
 class Load(NamedTuple):
@@ -38,23 +38,32 @@ def load_days(
     allow_incomplete: bool = False,
     table: str = warehouse.RAW_TABLE,
 ) -> Load:
-    """Replace every whole day of the landing folder (or of ``days``) in the raw table.
+    """Replace every whole day of the landing folder (or of ``days``) in the raw table whose files or rows changed.
 
-    Returns the days that were loaded, their summary as stored, and the
-    problems that were found. Loading the same folder twice changes nothing.
-    The page counts and problems, one row per page and pair, are written once;
-    the ads themselves are parsed once.
+    The manifest tells which days these are; all others are left as they are, unread. Returns the days that were
+    loaded, their summary as stored, and the problems of all days asked for. A day that was rejected is judged
+    again when its files change, or with ``allow_incomplete``. Loading the same folder twice changes nothing.
+    A day's pages are parsed once, and written for the two plans that read them: page counts for the gate, and ads.
     """
     warehouse.ensure_layers(spark)
     warehouse.ensure_partitioned(spark, table)
     warehouse.create_raw_table(spark, table)
-    pages = warehouse.stored(landing.page_counts(landing.read_pages(spark, folder, *days), "unreadable", "source_file"))
-    problems = warehouse.stored(problems_in(spark, folder, pages, *days))
+    manifest.ensure_tables(spark, table)
+    changed, listing = manifest.changed_days(spark, folder, table, *days, rejected_too=allow_incomplete)
+    loaded: list[date] = []
+    if changed:
+        with warehouse.intermediates() as made:
+            names = [str(d) for d in changed]
+            listing = warehouse.stored(listing.where(F.col("run_date").isin(changed)))
+            parsed = warehouse.stored(landing.read_pages(spark, folder, *names))
+            pages = warehouse.stored(landing.page_counts(parsed, "unreadable", "source_file"))
+            problems = warehouse.stored(problems_in(spark, folder, pages, *names))
 
-    flat = landing.flatten_pages(landing.read_pages(spark, folder, *days).where("NOT unreadable"))
-    warehouse.replace_days(gate.admit(flat, problems, allow_incomplete), table)
-
-    landed = pages.where("n > 0 AND NOT unreadable").select("run_date").distinct()
-    loaded = sorted(r.run_date for r in fetched(gate.admit(landed, problems, allow_incomplete), "days loaded"))
+            flat = landing.flatten_pages(parsed.where("NOT unreadable"))
+            warehouse.replace_days(gate.admit(flat, problems, allow_incomplete), table)
+            landed = pages.where("n > 0 AND NOT unreadable").select("run_date").distinct()
+            loaded = sorted(r.run_date for r in fetched(gate.admit(landed, problems, allow_incomplete), "days loaded"))
+            manifest.note(spark, folder, table, listing, pages, problems, changed, loaded)
+            made.drop()
     kept = spark.table(table).where(F.col("run_date").isin(loaded))
-    return Load(loaded, gate.load_summary(kept), problems)
+    return Load(loaded, gate.load_summary(kept), manifest.noted_problems(spark, folder, table, *days))

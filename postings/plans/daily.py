@@ -15,7 +15,7 @@ from postings.operators.quality import enforce
 from postings.operators.sizing import fetched
 from postings.plans import bronze, checks, days, gold, silver
 from postings.sources import warehouse
-from postings.sources.warehouse import replace_days, save_table, save_view, stored
+from postings.sources.warehouse import file_states, replace_days, save_table, save_view, stored
 
 ADS = "intermediate.vacancies_enriched"
 
@@ -24,23 +24,13 @@ ADS = "intermediate.vacancies_enriched"
 BUILT = "intermediate.ads_built_from"
 
 
-def raw_state(raw: DataFrame) -> DataFrame:
-    """(run_date, state) of every day in the raw table, from the names of its files.
-
-    Every write of a day makes files of new names, so whoever loaded it (this job, a stream, a load whose build died)
-    changes the state. Only file footers are read.
-    """
-    names = raw.select("run_date", F.col("_metadata.file_name").alias("name")).distinct()
-    return names.groupBy("run_date").agg(F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64("name"))).alias("state"))
-
-
 def rules_in_force() -> str:
     """A digest of the sources that decide what an ad row holds."""
     sources = [fixed, columns, dedup, silver]
     return hashlib.md5("".join(inspect.getsource(m) for m in sources).encode()).hexdigest()
 
 
-def refreshed_ads(staged: DataFrame, raw: DataFrame, full: bool = False) -> DataFrame:
+def refreshed_ads(staged: DataFrame, raw_table: str, full: bool = False) -> DataFrame:
     """The classified ads as a table by day, rebuilt for the days that differ from what they were built from.
 
     An ad row depends on the raw rows of its own day alone, so replacing the
@@ -49,7 +39,7 @@ def refreshed_ads(staged: DataFrame, raw: DataFrame, full: bool = False) -> Data
     the table. What was built is noted last: a build that dies is done again.
     """
     spark = staged.sparkSession
-    now = [(r.run_date, r.state, rules_in_force()) for r in fetched(raw_state(raw), "days of the raw table")]
+    now = [(r.run_date, r.state, rules_in_force()) for r in fetched(file_states(spark, raw_table, "run_date"), "days of the raw table")]
     known = set()
     if not full and spark.catalog.tableExists(ADS) and spark.catalog.tableExists(BUILT):
         known = {tuple(r) for r in fetched(spark.table(BUILT).select("run_date", "state", "rules"), "days of the ads table")}
@@ -86,7 +76,7 @@ def build(
     """
     warehouse.ensure_layers(spark)
     staged = save_view(silver.stage(spark.table(raw_table)), "stg_vacancies")
-    ads = refreshed_ads(staged, spark.table(raw_table), full)
+    ads = refreshed_ads(staged, raw_table, full)
 
     countries = save_table(gold.dim_country(spark), "marts.dim_country")
     roles = save_table(gold.dim_role(spark), "marts.dim_role")

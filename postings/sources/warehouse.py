@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import date
 from functools import cache
 
@@ -85,11 +86,59 @@ def stored(df: DataFrame) -> DataFrame:
 
     The files go to the shared folder named by ``spark.checkpoint.dir``, so a
     lost executor costs a read, not a recomputation, and the columns stay
-    prunable. Cleaning that folder is up to its owner.
+    prunable. What is written inside :func:`intermediates` can be dropped by it; cleaning the rest is up to the folder's owner.
     """
     path = f"{_shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    for scope in _SCOPES.get():
+        scope.add(written, path)
+    return written
+
+
+class Intermediates:
+    """What :func:`stored` wrote in a scope, and whether it may go."""
+
+    def __init__(self) -> None:
+        self._written: list[tuple[DataFrame, str]] = []
+
+    def add(self, df: DataFrame, path: str) -> None:
+        self._written.append((df, path))
+
+    def drop(self, *but: DataFrame) -> None:
+        """Delete all of it but the frames ``but``. The caller knows that no other frame still reads it."""
+        for df, path in self._written:
+            if not any(df is kept for kept in but):
+                _delete(df.sparkSession, path)
+        self._written = [w for w in self._written if any(w[0] is kept for kept in but)]
+
+    def read_by(self, df: DataFrame) -> bool:
+        """Whether ``df`` reads any of it."""
+        files = df.inputFiles()
+        return any(f"/{path.rsplit('/', 1)[1]}/" in name for _, path in self._written for name in files)
+
+
+_SCOPES: ContextVar[tuple[Intermediates, ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def intermediates() -> Iterator[Intermediates]:
+    """A scope that notes what :func:`stored` writes inside it, in inner scopes too.
+
+    Written rows are on shared storage, so once the rows made from them are written, losing
+    an executor needs them no more.
+    """
+    scope = Intermediates()
+    token = _SCOPES.set((*_SCOPES.get(), scope))
+    try:
+        yield scope
+    finally:
+        _SCOPES.reset(token)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -115,6 +164,18 @@ def partition_days(spark: SparkSession, table: str) -> list[date]:
     return sorted(date.fromisoformat(n) for n in names if n != "__HIVE_DEFAULT_PARTITION__")
 
 
+def file_states(spark: SparkSession, table: str, by: str) -> DataFrame:
+    """(day, state) of every day partition, from the listing of its files; none is opened.
+
+    Every write of a day makes files of new names, so whoever wrote it changes the state.
+    """
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(about["Location"])
+    day = F.nullif(F.regexp_extract("path", rf"/{by}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1), F.lit("")).try_cast("date").alias(by)
+    named = files.select(day, F.element_at(F.split("path", "/"), -1).alias("name"), "length").where(F.col(by).isNotNull())
+    return named.groupBy(by).agg(F.concat_ws(":", F.count("*"), F.bit_xor(F.xxhash64("name", "length"))).alias("state"))
+
+
 def drop_days(spark: SparkSession, table: str, days: Iterable[date]) -> None:
     (by,) = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     for day in days:

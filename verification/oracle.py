@@ -408,6 +408,8 @@ BODIES = {
     "daily_status": "SELECT * FROM daily",
     "scd2_history": "SELECT * FROM versions",
     "fact": "SELECT * FROM fact",
+    "fact_by_days": "SELECT * FROM fact",
+    "history_by_days": "SELECT * FROM versions",
     "asof_fact": "SELECT * FROM fact",
     "dim_company": "SELECT * FROM companies",
     "dim_location": """

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from postings import fixed
 from postings.functions import city_group, company_key, location_key, page_file_name, pair_key
-from postings.operators import gate, presence
+from postings.operators import gate, presence, state
 from postings.operators.quantiles import DISCRETE, quantiles
+from postings.operators.sizing import fetched
 from postings.operators.snapshot import latest_day
 from postings.plans import checks, dashboard, gold, reports, silver
 from postings.sources import landing
@@ -314,6 +315,32 @@ def fact(x: Layers) -> DataFrame:
     return x.facts
 
 
+def _by_days(x: Layers) -> tuple[DataFrame, DataFrame]:
+    """(fact, state rows): all days but the last three in one pass, those three one after the other from the state before them."""
+    ads, keys = x.stored_ads, (silver.KEY, silver.DAY, silver.VERSIONED)
+    days = sorted(r[0] for r in fetched(ads.select(silver.DAY).distinct(), "days"))
+    head = ads.where(F.col(silver.DAY) < F.lit(days[-3]))
+    facts, known = stored(gold.fact(head)), stored(state.states(head, *keys))
+    for before, day in zip(days[-4:], days[-3:]):
+        today = ads.where(F.col(silver.DAY) == F.lit(day))
+        rows = stored(state.advanced(today, state.before(known, *keys, day), *keys))
+        yesterday = facts.where(F.col(silver.DAY) == F.lit(before))
+        facts, known = facts.union(stored(gold.fact_of_day(today, rows, yesterday))), known.union(rows)
+    return facts, known
+
+
+@query
+def fact_by_days(x: Layers) -> DataFrame:
+    return _by_days(x)[0]
+
+
+@query
+def history_by_days(x: Layers) -> DataFrame:
+    known, keys = _by_days(x)[1], (silver.KEY, silver.DAY, silver.VERSIONED)
+    ended = state.closed_versions(known, *keys, "vacancy_sk")
+    return ended.union(state.open_versions(state.before(known, *keys), silver.KEY, silver.VERSIONED, "vacancy_sk"))
+
+
 @query
 def asof_fact(x: Layers) -> DataFrame:
     return gold.fact_by_join(silver.daily(x.stored_ads), gold.dim_vacancy(x.stored_ads))
@@ -368,7 +395,8 @@ def salary_approx(x: Layers) -> DataFrame:
     facts = x.stored_facts
     sides = {f"{n}_{s}": (c, p + d, DISCRETE) for n, (c, p) in wanted.items() for s, d in (("low", -0.01), ("high", 0.01))}
     bounds = quantiles(gold.charted_salaries(facts, x.countries), gold.SALARY_GROUP, sides)
-    inside = [F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")) for n in wanted]
+    # a group without any value of a kind has no quantile of it on either side
+    inside = [F.coalesce(F.col(n).between(F.col(f"{n}_low"), F.col(f"{n}_high")), F.col(n).isNull() & F.col(f"{n}_low").isNull()) for n in wanted]
     d = gold.salary_daily(facts, x.countries, approx=True).join(bounds, gold.SALARY_GROUP)
     return d.select(*gold.SALARY_GROUP, "n_disclosed", reduce(and_, inside).alias("inside"))
 
