@@ -14,13 +14,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """(text, label) of at most ``most`` labelled rows outside the held-out fold, the lowest by hashed id.
+    """(doc_id, text, label) of at most ``most`` labelled rows outside the held-out fold, the lowest by hashed id.
 
-    The chosen ids are at most ``most``, so they are broadcast and the texts stay where they are.
+    A label counts once for its id, and so does a text: of several texts of one id the least is taken, NULL last. The chosen ids are at most
+    ``most``, so they are broadcast; the other texts stay where they are.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-        .select("doc_id", F.col(label).cast("int").alias("label"))
+        .select("doc_id", F.col(label).cast("int").alias("label")).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
