@@ -60,3 +60,28 @@ def as_of(fact: DataFrame, versions: DataFrame, key: str, day: str, take: list[s
     return fact.join(v, in_force, "left").select(
         *[fact[c] for c in fact.columns], *[F.col(f"_{c}").alias(c) for c in take]
     )
+
+
+def as_of_merge(fact: DataFrame, versions: DataFrame, key: str, day: str, take: list[str], slice_days: int = 365) -> DataFrame:
+    """The same rows as :func:`as_of` by one sort of both sides: the last version is carried forward to the facts after it.
+
+    Both sides are merged by (key, day), so there is no range condition and a fact meets one version, however many its
+    key has. A key's rows are cut into slices of ``slice_days`` days, so a key with a long history or many facts is
+    no single group; the version in force at the start of a slice is handed on from the slices before it, which are
+    one row each. Facts with a NULL key or day meet no version.
+    """
+    slot = F.floor(F.datediff(F.col("_at"), F.lit("1970-01-01").cast("date")) / slice_days)
+    taken = F.struct("valid_from", "valid_to", *[F.col(c) for c in take])
+    sides = fact.select(F.col(key).alias("_key"), F.col(day).alias("_at"), F.lit(1).alias("_side"), F.struct(*fact.columns).alias("_fact"), F.lit(None).cast(versions.select(taken).schema[0].dataType).alias("_version"))
+    starts = versions.select(F.col(key).alias("_key"), F.col("valid_from").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(sides.schema["_fact"].dataType).alias("_fact"), taken.alias("_version"))
+    both = sides.union(starts).withColumn("_slot", slot)
+    # The last version of each slice, then of all slices before a slice.
+    in_slot = starts.withColumn("_slot", slot).groupBy("_key", "_slot").agg(F.max_by("_version", "_at").alias("_version"))
+    handed = both.select("_key", "_slot").distinct().join(in_slot, ["_key", "_slot"], "left")
+    before = Window.partitionBy("_key").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    handed = handed.select("_key", "_slot", F.last("_version", ignorenulls=True).over(before).alias("_version"))
+    handed = handed.where(F.col("_version").isNotNull()).select("_key", F.lit(None).cast("date").alias("_at"), F.lit(0).alias("_side"), F.lit(None).cast(sides.schema["_fact"].dataType).alias("_fact"), "_version", "_slot")
+    in_order = Window.partitionBy("_key", "_slot").orderBy(F.col("_at").asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = both.unionByName(handed).withColumn("_version", F.last("_version", ignorenulls=True).over(in_order)).where("_side = 1")
+    met = F.col("_key").isNotNull() & F.col("_at").isNotNull() & (F.col("_version.valid_to").isNull() | (F.col("_at") < F.col("_version.valid_to")))
+    return carried.select("_fact.*", *[F.when(met, F.col(f"_version.{c}")).alias(c) for c in take])

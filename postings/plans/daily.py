@@ -45,9 +45,9 @@ def refreshed_ads(staged: DataFrame, raw_table: str, full: bool = False) -> Data
         known = {tuple(r) for r in fetched(spark.table(BUILT).select("run_date", "state", "rules"), "days of the ads table")}
     if not known:
         spark.sql(f"DROP TABLE IF EXISTS {BUILT}")
-        ads = save_table(silver.present(staged), ADS, "observed_on")
+        ads = save_table(silver.present(staged, in_two=True), ADS, "observed_on")
     elif changed := sorted({d for d, *_ in known.symmetric_difference(now)}):
-        some = stored(silver.present(staged.where(F.col("observed_on").isin(changed))))
+        some = stored(silver.present(staged.where(F.col("observed_on").isin(changed)), in_two=True))
         replace_days(some, ADS, "observed_on")
         left = {r.observed_on for r in fetched(some.select("observed_on").distinct(), "days rebuilt")}
         for day in changed:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from postings import fixed
 from postings.functions import share
+from postings.operators import bitmaps
 from postings.operators.measures import measures
 from postings.operators.quantiles import CONTINUOUS, DISCRETE, quantiles, with_quantiles
 from postings.operators.snapshot import latest, latest_day
@@ -37,6 +38,34 @@ def kpi(bi: DataFrame, by: list[str] | None = None) -> DataFrame:
     ).withColumn("disclosed_share", F.round(share("n_disclosed", "n_ads"), 6))
 
 
+TILE_FILTERS = ["observed_on", "country_code", "role_key", "contract_type"]
+TILE_MEASURES = ["n_ads", "n_positions", "n_new", "n_gone", "n_disclosed"]
+
+
+def tile_bitmaps(bi: DataFrame, ads: DataFrame, positions: DataFrame) -> DataFrame:
+    """Bitmaps of the KPI tile by everything that it can be filtered by; ``ads`` and ``positions`` number the keys.
+
+    Its size is that of the filters' combinations, times the blocks of keys that occur in each, not of the fact.
+    """
+    numbered = bi.join(ads.withColumnRenamed("number", "ad"), "source_id", "left").join(positions.withColumnRenamed("number", "position"), "position_id", "left")
+    return bitmaps.bitmaps(numbered, TILE_FILTERS, {
+        "n_ads": (is_open(), "ad"),
+        "n_positions": (is_open(), "position"),
+        "n_new": (F.col("is_new"), "ad"),
+        "n_gone": (F.col("is_gone"), "ad"),
+        "n_disclosed": (is_open() & F.col("is_salary_disclosed"), "ad"),
+    })
+
+
+def kpi_of_tiles(tiles: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The rows of :func:`kpi` from bitmaps: filters on country, role, contract and day are ``where`` calls on ``tiles``.
+
+    A group that the filters leave without any counted key has no row.
+    """
+    found = bitmaps.counts(tiles, by or [], TILE_MEASURES)
+    return found.withColumn("disclosed_share", F.round(share("n_disclosed", "n_ads"), 6))
+
+
 def composition(bi: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:
     """Crosstab of open ads: one line per value of ``rows``, one column per value given."""
     counted = measures(bi.where(is_open()), [rows, columns], distinct={"n": (F.lit(True), "source_id")})

@@ -14,10 +14,12 @@ from postings.functions import (
     location_key,
     surrogate_key,
 )
-from postings.operators.history import as_of, scd2
+from postings.operators.history import as_of, as_of_merge, scd2
 from postings.operators.measures import measures
 from postings.operators.quantiles import CONTINUOUS, DISCRETE, quantiles, with_quantiles
 from postings.operators.sizing import measured_small
+from postings.operators.sketches import merged as merged_sketches
+from postings.operators.sketches import sketched_quantiles, sketches
 from postings.operators.snapshot import latest
 from postings.plans import silver
 
@@ -105,9 +107,10 @@ def fact(ads: DataFrame, covered: DataFrame | None = None) -> DataFrame:
     )
 
 
-def fact_by_join(daily: DataFrame, versions: DataFrame) -> DataFrame:
-    """The same fact from separately kept daily rows and versions, by an as-of join."""
-    return as_of(_with_keys(daily), versions, silver.KEY, silver.DAY, ["vacancy_sk"]).select(
+def fact_by_join(daily: DataFrame, versions: DataFrame, merge: bool = False) -> DataFrame:
+    """The same fact from separately kept daily rows and versions, by an as-of join, or by ``merge``."""
+    attach = as_of_merge if merge else as_of
+    return attach(_with_keys(daily), versions, silver.KEY, silver.DAY, ["vacancy_sk"]).select(
         *FACT_COLUMNS
     )
 
@@ -206,6 +209,20 @@ def salary_daily(facts: DataFrame, countries: DataFrame, approx: bool = False) -
     )
 
 
+def salary_sketches(facts: DataFrame, countries: DataFrame) -> DataFrame:
+    """Sketches of disclosed salaries per day, country, role and currency, to be merged by :func:`salary_of_sketches`."""
+    return sketches(charted_salaries(facts, countries), SALARY_GROUP, ["salary_mid", "salary_min", "salary_max"])
+
+
+def salary_of_sketches(found: DataFrame, by: list[str]) -> DataFrame:
+    """Counts, medians and quartiles of coarser groups, weeks or countries say, from the sketches of their days."""
+    whole = merged_sketches(found, by, ["salary_mid", "salary_min", "salary_max"])
+    return sketched_quantiles(whole, by, {
+        "salary_mid_p50": ("salary_mid", 0.5), "salary_mid_p25": ("salary_mid", 0.25), "salary_mid_p75": ("salary_mid", 0.75),
+        "salary_min_p50": ("salary_min", 0.5), "salary_max_p50": ("salary_max", 0.5),
+    })
+
+
 def company_role(facts: DataFrame, days_of: DataFrame | None = None) -> DataFrame:
     """Who hires now: the latest day by company and role. All its days are one global latest day."""
     by = ["observed_on", "country_code", "role_key", "company_name"]

@@ -17,7 +17,7 @@ from postings.functions import (
     trimmed,
     work_mode_of,
 )
-from postings.operators.dedup import dedup
+from postings.operators.dedup import dedup, dedup_in_two
 from postings.operators.presence import daily_status
 
 KEY, DAY, GUARD = "source_id", "observed_on", "country_code"
@@ -63,9 +63,10 @@ def stage(raw: DataFrame) -> DataFrame:
     )
 
 
-def deduped(staged: DataFrame) -> DataFrame:
-    """One row per ad and day, with the ordered list of queries that found it."""
-    return dedup(staged, [KEY, DAY], ATTRIBUTES, REPEAT_ORDER, "role_query", "role_queries")
+def deduped(staged: DataFrame, in_two: bool = False) -> DataFrame:
+    """One row per ad and day, with the ordered list of queries that found it; ``in_two`` passes where the rows are many."""
+    collapse = dedup_in_two if in_two else dedup
+    return collapse(staged, [KEY, DAY], ATTRIBUTES, REPEAT_ORDER, "role_query", "role_queries")
 
 
 def coverage(staged: DataFrame) -> DataFrame:
@@ -92,8 +93,8 @@ def enriched(ads: DataFrame) -> DataFrame:
     )
 
 
-def present(staged: DataFrame) -> DataFrame:
-    return enriched(deduped(staged))
+def present(staged: DataFrame, in_two: bool = False) -> DataFrame:
+    return enriched(deduped(staged, in_two))
 
 
 def daily(

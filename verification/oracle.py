@@ -386,6 +386,7 @@ BODIES = {
         WHERE run_date = (SELECT max(run_date) FROM raw_rows) GROUP BY ALL""",
     "stage_filter": "SELECT * FROM stg",
     "dedup_observations": "SELECT * FROM dedup",
+    "dedup_two_phase": "SELECT * FROM dedup",
     "classify_role": "SELECT title, role_key, is_relevant, count(*) AS n FROM ads GROUP BY ALL",
     "classify_grade": "SELECT title, grade, count(*) AS n FROM ads GROUP BY ALL",
     "classify_mode": "SELECT title, description, remote_type, is_remote, count(*) AS n FROM ads GROUP BY ALL",
@@ -411,6 +412,7 @@ BODIES = {
     "fact_by_days": "SELECT * FROM fact",
     "history_by_days": "SELECT * FROM versions",
     "asof_fact": "SELECT * FROM fact",
+    "merged_fact": "SELECT * FROM fact",
     "dim_company": "SELECT * FROM companies",
     "dim_location": """
         SELECT DISTINCT md5(concat(country_code, '|', location_region, '|', location_city)) AS location_sk,
@@ -426,6 +428,14 @@ BODIES = {
     "market_daily": "SELECT * FROM market",
     "salary_daily": "SELECT * FROM salaries",
     "salary_approx": "SELECT observed_on, country_code, role_key, currency, n_disclosed, true AS inside FROM salaries",
+    "salary_sketched": """
+        SELECT CAST(date_trunc('week', f.observed_on) AS DATE) AS week, f.country_code, f.role_key, c.currency, count(salary_mid) AS n,
+               quantile_disc(salary_mid, 0.5) AS salary_mid_p50, quantile_disc(salary_mid, 0.25) AS salary_mid_p25,
+               quantile_disc(salary_mid, 0.75) AS salary_mid_p75, quantile_disc(salary_min, 0.5) AS salary_min_p50,
+               quantile_disc(salary_max, 0.5) AS salary_max_p50
+        FROM fact f JOIN countries c USING (country_code)
+        WHERE f.is_relevant AND f.is_salary_disclosed AND NOT f.is_gone AND c.show_salary
+        GROUP BY ALL""",
     "salary_disclosure": """
         SELECT observed_on, country_code, count(*) FILTER (NOT is_gone) AS n_ads,
                count(*) FILTER (NOT is_gone AND is_salary_disclosed) AS n_salary_disclosed,
@@ -553,6 +563,8 @@ BODIES = {
     "dq_results": DQ,
     "kpi": KPI.format(shown=""),
     "kpi_by_country": KPI.format(shown="country_name,") + " WHERE contract_type = 'permanent' GROUP BY country_name",
+    "kpi_tiles": KPI.format(shown=""),
+    "kpi_tiles_by_week": KPI.format(shown="CAST(date_trunc('week', observed_on) AS DATE) AS week, country_code,") + " GROUP BY ALL",
     "composition": _crosstab("contract_type", "grade", fixed.GRADES),
     "composition_mode": _crosstab("contract_time", "remote_type", fixed.WORK_MODES),
     "trend": """

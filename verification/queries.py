@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from postings import fixed
 from postings.functions import city_group, company_key, location_key, page_file_name, pair_key
 from postings.operators import gate, presence, state
+from postings.operators.bitmaps import dense_numbers
 from postings.operators.quantiles import DISCRETE, quantiles
 from postings.operators.sizing import fetched
 from postings.operators.snapshot import latest_day
@@ -238,6 +239,11 @@ def dedup_observations(x: Layers) -> DataFrame:
     return x.deduped
 
 
+@query
+def dedup_two_phase(x: Layers) -> DataFrame:
+    return silver.deduped(x.staged, in_two=True)
+
+
 @query
 def classify_role(x: Layers) -> DataFrame:
     return x.ads.groupBy("title", "role_key", "is_relevant").agg(F.count("*").alias("n"))
@@ -346,6 +352,11 @@ def asof_fact(x: Layers) -> DataFrame:
     return gold.fact_by_join(silver.daily(x.stored_ads), gold.dim_vacancy(x.stored_ads))
 
 
+@query
+def merged_fact(x: Layers) -> DataFrame:
+    return gold.fact_by_join(silver.daily(x.stored_ads), gold.dim_vacancy(x.stored_ads), merge=True)
+
+
 # --- dimensions --------------------------------------------------------------------------
 
 @query
@@ -401,6 +412,13 @@ def salary_approx(x: Layers) -> DataFrame:
     return d.select(*gold.SALARY_GROUP, "n_disclosed", reduce(and_, inside).alias("inside"))
 
 
+@query
+def salary_sketched(x: Layers) -> DataFrame:
+    """Weeks of countries and roles from the sketches of their days."""
+    found = stored(gold.salary_sketches(x.facts, x.countries)).withColumn("week", F.to_date(F.date_trunc("week", "observed_on")))
+    return gold.salary_of_sketches(found, ["week", "country_code", "role_key", "currency"])
+
+
 @query
 def salary_disclosure(x: Layers) -> DataFrame:
     return reports.disclosure_share(gold.salary_disclosure(x.facts))
@@ -558,6 +576,23 @@ def kpi_by_country(x: Layers) -> DataFrame:
     return dashboard.kpi(x.bi.where(F.col("contract_type") == "permanent"), ["country_name"])
 
 
+def _tiles(x: Layers) -> DataFrame:
+    bi = stored(x.stored_bi)
+    return dashboard.tile_bitmaps(bi, dense_numbers(bi, "source_id"), dense_numbers(bi, "position_id"))
+
+
+@query
+def kpi_tiles(x: Layers) -> DataFrame:
+    return dashboard.kpi_of_tiles(_tiles(x))
+
+
+@query
+def kpi_tiles_by_week(x: Layers) -> DataFrame:
+    """Weeks of countries from the bitmaps of days and roles."""
+    weeks = _tiles(x).withColumn("week", F.to_date(F.date_trunc("week", "observed_on")))
+    return dashboard.kpi_of_tiles(weeks, ["week", "country_code"])
+
+
 @query
 def composition(x: Layers) -> DataFrame:
     return dashboard.contract_by_grade(x.bi)
