@@ -2,7 +2,7 @@
 
 One event is one occurrence of an ad in one query's results: user = ad, day =
 observation, event type = search query. Titles and contract times shift with
-the day, so ads change version. A country whose turn it is misses its day and
+the day, so ads change version, and some ads get a new id or a new date of publication. A country whose turn it is misses its day and
 is collected on the following one, so country-days are uncovered, repeats of
 one ad may disagree, and no event is left out.
 """
@@ -25,6 +25,10 @@ TITLES = [
 DESCRIPTIONS = [
     "hybrid working, python and sql", "work from home, aws", "on site with spark", "kafka and dbt",
 ]
+# some ads are placed again under a new id while the old one goes, early or late in the month
+AGAIN = "CASE WHEN u % 10 = 7 AND dd >= 6 OR u % 10 = 3 AND dd >= 25 THEN 1000000 ELSE 0 END"
+# and some change their date of publication on the way
+LATER = "CASE WHEN u % 13 = 5 AND dd >= 13 THEN 1 ELSE 0 END"
 POSTED = ["2023-12-30 22:00:00", "2024-01-05 09:00:00", "2024-01-20 00:30:00"]
 
 
@@ -64,10 +68,10 @@ def raw_rows(spark: SparkSession, sf_dir: str, page: str = "1 + event_id % 3") -
         "role_query",
         "page",
         "50 * page AS count_reported",
-        "if(value >= 0.5, cast(u AS string), NULL) AS source_id",
+        f"if(value >= 0.5, cast(u + {AGAIN} AS string), NULL) AS source_id",
         f"concat('  ', element_at({_listed(TITLES)}, cast(1 + (u + (dd - 1) div 10) % 16 AS int)), ' ') AS title",
         f"try_element_at({_listed(DESCRIPTIONS)}, cast(1 + u % 5 AS int)) AS description",
-        f"cast(try_element_at({_listed(POSTED)}, cast(1 + u % 4 AS int)) AS timestamp) AS posted_at",
+        f"cast(try_element_at({_listed(POSTED)}, cast(1 + (u + {LATER}) % 4 AS int)) AS timestamp) AS posted_at",
         "if(u % 11 = 0, '  ', concat(if(u % 2 = 0, 'Co ', 'CO '), cast(u % 17 AS string))) AS company_name",
         f"if({paid}, cast(30000 + (u % 40) * 1000 AS double), NULL) AS salary_min",
         f"if({paid} AND u % 7 <> 1, cast(40000 + (u % 40) * 1500 AS double), NULL) AS salary_max",
@@ -123,8 +127,10 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(50).alias("results_per_page"),
             F.lit(2).alias("max_days_old"),
             F.size("ads").alias("count_reported"),
-            F.create_map(F.lit("X-RateLimit-Limit"), F.lit("300"), F.lit("Server"), F.lit("x"))
-            .alias("response_headers"),
+            F.create_map(
+                F.lit("X-RateLimit-Limit"), F.lit("300"), F.lit("X-Ratelimit-Remaining"), (300 - F.col("page") - F.size("ads")).cast("string"),
+                F.lit("Server"), F.lit("x"),
+            ).alias("response_headers"),
         ).alias("_meta"),
         F.struct(
             F.size("ads").alias("count"),

@@ -11,8 +11,8 @@ from __future__ import annotations
 import re
 
 from postings import fixed
-from verification.observations import COUNTRIES, DESCRIPTIONS, POSTED, TITLES
-from verification.queries import EVENT_PAGE_SIZE, EVENT_QUERIES
+from verification.observations import AGAIN, COUNTRIES, DESCRIPTIONS, LATER, POSTED, TITLES
+from verification.queries import DOCUMENT_TERMS, EVENT_PAGE_SIZE, EVENT_QUERIES
 
 
 def _text_list(values) -> str:
@@ -53,10 +53,10 @@ def _raw(page: str) -> str:
             AS source_file,
         run_date, ts AS extracted_at, country, event_type AS role_query, pg AS page,
         50 * pg AS count_reported,
-        CASE WHEN value >= 0.5 THEN CAST(u AS VARCHAR) END AS source_id,
+        CASE WHEN value >= 0.5 THEN CAST(u + {AGAIN} AS VARCHAR) END AS source_id,
         '  ' || ({_text_list(TITLES)})[1 + (u + (dd - 1) // 10) % 16] || ' ' AS title,
         ({_text_list(DESCRIPTIONS)})[CASE WHEN u % 5 < 4 THEN 1 + u % 5 END] AS description,
-        CAST(({_text_list(POSTED)})[CASE WHEN u % 4 < 3 THEN 1 + u % 4 END] AS TIMESTAMP) AS posted_at,
+        CAST(({_text_list(POSTED)})[CASE WHEN (u + {LATER}) % 4 < 3 THEN 1 + (u + {LATER}) % 4 END] AS TIMESTAMP) AS posted_at,
         CASE WHEN u % 11 = 0 THEN '  ' ELSE (CASE WHEN u % 2 = 0 THEN 'Co ' ELSE 'CO ' END) || (u % 17) END
             AS company_name,
         CASE WHEN paid THEN CAST(30000 + (u % 40) * 1000 AS DOUBLE) END AS salary_min,
@@ -275,15 +275,15 @@ def _with(body: str) -> str:
 DAY_IDS = "source_id, observed_on, country_code, title, role_key, position_id, first_seen_on, last_present_on"
 
 
-def _coverage(source: str, text: str) -> str:
+def _coverage(source: str, text: str, terms: list[str] = fixed.TECHNOLOGIES) -> str:
     return f"""
     SELECT t.term, count(*) FILTER (contains(lower(coalesce(s.{text}, '')), t.term)) AS n,
            round(count(*) FILTER (contains(lower(coalesce(s.{text}, '')), t.term)) / count(*), 6) AS share
-    FROM {source} s, (SELECT unnest({_text_list(fixed.TECHNOLOGIES)}) AS term) t
+    FROM {source} s, (SELECT unnest({_text_list(terms)}) AS term) t
     GROUP BY t.term HAVING n > 0
     UNION ALL
     SELECT NULL, count(*) FILTER (hit), round(count(*) FILTER (hit) / count(*), 6)
-    FROM (SELECT len(list_filter({_text_list(fixed.TECHNOLOGIES)},
+    FROM (SELECT len(list_filter({_text_list(terms)},
                      lambda t: contains(lower(coalesce({text}, '')), t))) > 0 AS hit FROM {source})"""
 
 
@@ -359,7 +359,9 @@ BODIES = {
                latitude, longitude, 'it-jobs' AS category_tag, 'IT Jobs' AS category_label,
                redirect_url, source_id AS id_in_text
         FROM page_rows""",
-    "quota_headers": "SELECT 'X-RateLimit-Limit' AS name, '300' AS value FROM events LIMIT 1",
+    "quota_headers": """
+        SELECT unnest(['X-RateLimit-Limit', 'X-Ratelimit-Remaining']) AS name, unnest(['300', CAST(300 - page - n AS VARCHAR)]) AS value
+        FROM (SELECT source_file, any_value(page) AS page, count(*) AS n FROM page_rows GROUP BY source_file ORDER BY source_file LIMIT 1)""",
     "expected_pairs": "SELECT * FROM expected",
     "pair_completeness": "SELECT * FROM by_pages",
     "ledger_states": "SELECT run_date, pair, status, pages, collected, count_reported, 'T02' AS finished_at FROM ledger",
@@ -518,7 +520,7 @@ BODIES = {
     "top_titles": """
         SELECT trim(title) AS title, count(*) AS n FROM raw_rows WHERE title <> ''
         GROUP BY trim(title) ORDER BY n DESC, title LIMIT 15""",
-    "keyword_coverage": _coverage("documents", "text"),
+    "keyword_coverage": _coverage("documents", "text", DOCUMENT_TERMS),
     "keyword_coverage_ads": _coverage("raw_rows", "description"),
     "layer_counts": """
         SELECT *, round(n_other / n_rows, 6) AS other_share FROM (
