@@ -141,6 +141,18 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A new database below the shared folder, for tables that are written and read back; dropping it is up to its owner."""
+    name = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{_shared_folder(spark)}/{name}'")
+    return name
+
+
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:

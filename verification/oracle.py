@@ -408,6 +408,17 @@ BODIES = {
     "first_seen": "SELECT * FROM seen",
     "gone_rows": f"SELECT {DAY_IDS} FROM gone",
     "gone_rows_by_join": f"SELECT {DAY_IDS} FROM gone",
+    "presence_spells": """
+        SELECT source_id, CAST(spell AS BIGINT) AS spell, arg_max(country_code, observed_on) AS country_code, min(observed_on) AS opened_on,
+               max(observed_on) AS last_present_on, max(closed_on) AS closed_on, count(*) AS n_days
+        FROM (SELECT *, 1 + count(closed_on) OVER (PARTITION BY source_id ORDER BY observed_on ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spell
+              FROM (SELECT a.source_id, a.observed_on, a.country_code, list_sort(list(c.observed_on))[2] AS closed_on
+                    FROM (SELECT *, lead(observed_on) OVER (PARTITION BY source_id ORDER BY observed_on) AS next_seen FROM ads) a
+                    LEFT JOIN (SELECT DISTINCT country_code, observed_on FROM ads) c
+                      ON c.country_code = a.country_code AND c.observed_on > a.observed_on AND (a.next_seen IS NULL OR c.observed_on < a.next_seen)
+                    GROUP BY a.source_id, a.observed_on, a.country_code))
+        GROUP BY source_id, spell""",
+    "spells_closed_next_day": "SELECT source_id, observed_on, country_code, last_present_on FROM gone",
     "daily_status": "SELECT * FROM daily",
     "scd2_history": "SELECT * FROM versions",
     "fact": "SELECT * FROM fact",
@@ -598,6 +609,17 @@ BODIES = {
         FROM bi WHERE observed_on = (SELECT max(observed_on) FROM stg) AND is_open AND company_name IS NOT NULL
         GROUP BY company_name ORDER BY days_open_max DESC, days_open_p50 DESC, company_name LIMIT 10""",
     "latest_day_of": "SELECT max(observed_on) AS observed_on FROM stg",
+    "ndjson_round_trip": "SELECT * EXCLUDE (ci) FROM raw_rows",
+    "replaced_days": "SELECT * EXCLUDE (ci) FROM raw_rows WHERE day(run_date) > 10 OR page = 1",
+    "repartitioned_table": "SELECT run_date, count(*) AS n, '[True, False], by day: True' AS state FROM raw_rows GROUP BY run_date",
+    "layer_tables": "SELECT * FROM market",
+    "row_counts": """
+        SELECT 'raw' AS layer, count(*) AS n_rows FROM raw_rows
+        UNION ALL SELECT 'staged', count(*) FROM raw_rows WHERE source_id IS NOT NULL""",
+    "ledger_grows": "SELECT run_date, pair FROM expected WHERE day(run_date) % 2 = 0 OR day(run_date) % 3 = 0",
+    "pair_state": """
+        SELECT split_part(pair, '/', 1) AS country, status FROM ledger WHERE run_date = DATE '2024-01-02' AND pair LIKE '%/click'""",
+    "role_slugs": "SELECT DISTINCT title, replace(title, ' ', '-') AS slug FROM stg",
 }
 
 ORACLE = {name: _with(body) for name, body in BODIES.items()}

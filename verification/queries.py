@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postings import fixed
-from postings.functions import city_group, company_key, location_key, page_file_name, pair_key
-from postings.operators import gate, presence, state
+from postings.functions import city_group, company_key, location_key, page_file_name, pair_key, role_slug
+from postings.operators import gate, presence, spells, state
 from postings.operators.bitmaps import dense_numbers
 from postings.operators.quantiles import DISCRETE, quantiles
 from postings.operators.sizing import fetched
 from postings.operators.snapshot import latest_day
 from postings.plans import checks, dashboard, gold, reports, silver
-from postings.sources import landing
+from postings.sources import landing, warehouse
 from postings.sources.warehouse import stored
 from verification.observations import envelopes, pages, raw_rows, table
 
@@ -308,6 +308,19 @@ def gone_rows_by_join(x: Layers) -> DataFrame:
     )
 
 
+@query
+def presence_spells(x: Layers) -> DataFrame:
+    """Spells that close after two covered days of absence, holes of their country passed over."""
+    return spells.spells(x.stored_ads, "source_id", "observed_on", "country_code", absent_days=2, over_holes=True)
+
+
+@query
+def spells_closed_next_day(x: Layers) -> DataFrame:
+    """By the default rule the closed spells are the gone rows."""
+    found = spells.spells(x.stored_ads, "source_id", "observed_on", "country_code").where("closed_on IS NOT NULL")
+    return found.select("source_id", F.col("closed_on").alias("observed_on"), "country_code", "last_present_on")
+
+
 @query
 def daily_status(x: Layers) -> DataFrame:
     return x.daily
@@ -643,3 +656,78 @@ def longest_open(x: Layers) -> DataFrame:
 @query
 def latest_day_of(x: Layers) -> DataFrame:
     return latest_day(x.staged, "observed_on")
+
+
+# --- round trips: written, replaced and read back below the shared folder --------------------
+
+def _raw_layout(rows: DataFrame) -> DataFrame:
+    """The observations in the whole layout of the raw table; what they do not hold is NULL."""
+    return rows.select(*[(F.col(n) if n in rows.columns else F.lit(None)).cast(t).alias(n) for n, t in fixed.RAW_COLUMNS])
+
+
+@query
+def ndjson_round_trip(x: Layers) -> DataFrame:
+    folder = warehouse.scratch_folder(x.spark)
+    landing.write_rows(_raw_layout(x.raw), folder)
+    return landing.read_rows(x.spark, folder).select(*x.raw.columns)
+
+
+@query
+def replaced_days(x: Layers) -> DataFrame:
+    """All days loaded, then the first ten days loaded again with their first pages only, twice."""
+    table = f"{warehouse.scratch_database(x.spark)}.rows"
+    warehouse.create_raw_table(x.spark, table)
+    rows = _raw_layout(x.raw)
+    warehouse.replace_days(rows, table)
+    for _ in range(2):
+        warehouse.replace_days(rows.where((F.dayofmonth("run_date") <= 10) & (F.col("page") == 1)), table)
+    return x.spark.table(table).select(*x.raw.columns)
+
+
+@query
+def repartitioned_table(x: Layers) -> DataFrame:
+    """An unpartitioned raw table is rebuilt by day with its rows; doing so again changes nothing."""
+    table = f"{warehouse.scratch_database(x.spark)}.rows"
+    _raw_layout(x.raw).write.saveAsTable(table)
+    rebuilt = [warehouse.ensure_partitioned(x.spark, table) for _ in range(2)]
+    found = x.spark.table(table).groupBy("run_date").agg(F.count("*").alias("n"))
+    state = f"{rebuilt}, by day: {warehouse.is_partitioned(x.spark, table)}"
+    return found.withColumn("state", F.lit(state))
+
+
+@query
+def layer_tables(x: Layers) -> DataFrame:
+    """A mart as a table by day, from a staging view and a stored layer."""
+    base = warehouse.scratch_database(x.spark)
+    warehouse.save_view(x.staged, f"{base}_stg")
+    ads = warehouse.save_table(silver.present(x.spark.table(f"{base}_stg")), f"{base}.ads", "observed_on")
+    facts = warehouse.save_table(gold.fact(ads), f"{base}.facts", "observed_on")
+    return warehouse.save_table(gold.market_daily(facts), f"{base}.market", "observed_on")
+
+
+@query
+def row_counts(x: Layers) -> DataFrame:
+    base = warehouse.scratch_database(x.spark)
+    warehouse.save_table(x.raw, f"{base}.raw", "run_date")
+    warehouse.save_table(x.staged, f"{base}.staged")
+    counts = [(name, warehouse.row_count(x.spark, f"{base}.{name}")) for name in ("raw", "staged")]
+    return x.spark.createDataFrame(counts, "layer string, n_rows long")
+
+
+@query
+def ledger_grows(x: Layers) -> DataFrame:
+    """Pairs noted on even days, then every third day's added; a pair noted before is not added again."""
+    every_third = x.expected.where(F.dayofmonth("run_date") % 3 == 0)
+    return gate.with_expected(gate.with_expected(x.ledger_expected, every_third), every_third)
+
+
+@query
+def pair_state(x: Layers) -> DataFrame:
+    """The state of one pair of every country, looked up one by one on the second day."""
+    found = [gate.state_of(x.states, "2024-01-02", c, "click").withColumn("country", F.lit(c)) for c in fixed.COUNTRIES]
+    return reduce(DataFrame.union, found)
+
+
+@query
+def role_slugs(x: Layers) -> DataFrame:
+    return x.staged.select("title", role_slug("title").alias("slug")).distinct()
