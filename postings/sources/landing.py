@@ -136,8 +136,8 @@ def page_counts(pages: DataFrame, *more: str) -> DataFrame:
 
 
 def write_rows(rows: DataFrame, folder: str) -> None:
-    """Export raw rows as newline-delimited JSON."""
-    rows.write.mode("overwrite").option("ignoreNullFields", False).json(folder)
+    """Export raw rows as newline-delimited JSON, timestamps with all their digits."""
+    rows.write.mode("overwrite").option("ignoreNullFields", False).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
 
 
 def read_rows(spark: SparkSession, folder: str) -> DataFrame:
