@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("postings.llm")
@@ -71,7 +72,6 @@ def test_divergence_by_brute_force(odd, least, top):
 
 def test_divergence_hands_on_in_parts(odd, monkeypatch):
     """Tasks run in processes of their own, so the parts are driven here: tiny windows and flushes give the same counts."""
-    import pyarrow as pa
     rows = [("" if t is None else t, lang or "", source or "") for _, t, lang, source in ROWS]
     batches = [pa.RecordBatch.from_arrays([pa.array([c]) for c in (lang, source, text)], ["lang", "source", "text"]) for text, lang, source in rows]
 
@@ -258,3 +258,84 @@ def test_signatures_within_the_distance_share_a_key():
     a, b = hamming_join.keys(left), hamming_join.keys(right)
     assert (a == b).any(1).all()
     assert not (hamming_join.keys(left[:-1]) == hamming_join.keys(left[1:])).any()
+
+
+# --- shared parts and the pipeline ------------------------------------------------------------------------
+
+CLASHING = ["group", "_one", "_lines", "_spans", "_size", "_row", "_copy", "_taken", "_kept", "_head", "_linked", "_empty", "kept", "node", "t", "size"]
+
+
+def test_stages_carry_any_column_along(spark):
+    """Columns of whatever name come through every stage with their values, and decide nothing."""
+    import corpus_pipeline
+    text = " ".join(f"word{k % 50} and{k}" for k in range(120))
+    rows = [(k, f"{text} {k} {'x' * (k % 7)}", "en", f"s{k % 3}", 1) for k in range(60)] + [(99, None, None, None, None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = sorted((tuple(r) for r in stage(spark, plain, SF).collect()), key=repr)
+        wide = plain.select("*", *[plain.doc_id.cast("string").alias(c) for c in CLASHING])
+        found = stage(spark, wide, SF)
+        assert found.columns == wide.columns, name
+        assert sorted((tuple(r[:5]) for r in found.collect()), key=repr) == kept, name
+        assert all(r[c] == (None if r.doc_id is None else str(r.doc_id)) for r in found.collect() for c in CLASHING), name
+
+
+def test_later_stages_drop_what_earlier_ones_wrote(spark, monkeypatch):
+    import corpus_pipeline
+    from postings.sources import warehouse
+    dropped = []
+    delete = warehouse._delete
+    monkeypatch.setattr(warehouse, "_delete", lambda s, path: dropped.append(path) or delete(s, path))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    judged = corpus_pipeline.rules(spark, docs, SF)
+    written = warehouse.stored(judged)
+    lazy = corpus_pipeline.mixture(spark, judged, SF)  # reads what the first stage wrote
+    assert not dropped and lazy.count() > 0
+    corpus_pipeline.mixture(spark, written, SF)
+    assert dropped and written.count() > 0
+
+
+def test_training_rows_are_bounded_by_the_sample(spark):
+    from postings.llm import labelled
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(k, f"other {k}") for k in range(2, 40)] + [(2, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(1, 40)] * 3 + [(None, 1), (3, None)], "doc_id long, quality int")
+    for most in (1, 5, 1000):
+        rows = labelled.training_rows(docs, marks, "quality", most).collect()
+        assert len(rows) == len({r.doc_id for r in rows}) <= most
+    assert {r.text for r in rows if r.doc_id == 1} <= {"text 0"} and {r.text for r in rows if r.doc_id == 2} <= {"other 2"}
+
+
+def test_training_and_scores_by_a_plain_learner():
+    """Follow-the-regularised-leader one feature at a time in dictionaries, on the operator's own features."""
+    from postings.llm import quality_classifier as q
+    from postings.llm.text import slices
+    draw = random.Random(8)
+    texts = [" ".join(draw.choice("good fine text bad junk !!! x1".split()) for _ in range(draw.randrange(0, 30))) for _ in range(40)] + ["", None]
+    labels = np.array([draw.randrange(2) for _ in texts])
+    bits, alpha, beta, l1, l2 = 10, 0.6, 1.0, 0.002, 0.001
+    found = []
+    for _, data, offsets in slices(pa.array(texts, pa.string())):
+        row, bucket, value = q.features(data, offsets, bits)
+        for r in range(len(offsets) - 1):
+            held = {}
+            for k in np.flatnonzero(row == r):
+                held[int(bucket[k])] = held.get(int(bucket[k]), 0.0) + float(value[k])
+            found.append({**{i: float(np.float32(v)) for i, v in held.items()}, 1 << bits: 1.0})
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * l1) / ((beta + np.sqrt(n[i])) / alpha + l2)
+
+    for epoch in range(3):
+        for k in np.random.default_rng(epoch).permutation(len(found)):
+            share = 1 / (1 + np.exp(-np.clip(sum(weight(i) * v for i, v in found[k].items()), -30, 30)))
+            for i, v in found[k].items():
+                g, before = (share - labels[k]) * v, n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (np.sqrt(before + g * g) - np.sqrt(before)) / alpha * weight(i)
+                n[i] = before + g * g
+    weights = q.train(pa.array(texts, pa.string()), labels, bits)
+    assert np.allclose(weights, [weight(i) for i in range((1 << bits) + 1)], atol=1e-4)
+    expected = [1 / (1 + np.exp(-np.clip(sum(weights[i] * v for i, v in f.items()), -30, 30))) for f in found]
+    assert np.allclose(q.scores(pa.array(texts, pa.string()), weights), expected, atol=1e-6)
