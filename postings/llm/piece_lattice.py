@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 MARK = "\u2581"
 #: Stands for a space mark of the text's own inside the lattice; a private-use character, so no piece holds it.
 OWN = "\ue000"
@@ -307,11 +307,12 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             for block, words_ in enumerate(_blocked(_chunk_words(data.as_py(), shared.value), blocks)):
                 if not words_:
                     continue
-                lengths, values = _open(by_block[block].as_py())
+                lengths, values = _open(by_block.pop(block).as_py())
                 values, lengths = _spelt_out(values, lengths, bytes_of)
                 raw, cuts = values.astype("<i4").tobytes(), np.concatenate(([0], np.cumsum(lengths))) * 4
                 spelt.update(zip(words_, [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]))
         coded = [b"".join(map(spelt.__getitem__, words_of(t, shared.value))) for t in texts]
+        del spelt, texts
         lengths = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded])))
         lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4"), pa.int32()))
         return pa.table({"doc_id": pa.array(ids, pa.int64() if kind == "bigint" else None), "ids": lists})
