@@ -3,12 +3,15 @@
 A token is the stem of a run of letters: its first letters, case folded. Runs
 longer than words are, and runs of scripts that set no spaces, are cut into
 overlapping grams instead, so every letter is in a token. A token's score
-is the log-odds of the token in toxic against other labelled texts under
+is the log-odds of its occurrences in toxic against other labelled texts under
 Dirichlet priors, drawn towards zero by its standard error, less a constant
-drift, so that clean prose scores negative. All maximal segments of a text are
-found in one linear scan. A segment's score is set against the extreme values
-that clean prose of that length would give, and the significant segments of a
-text add up to its statistic, which a logistic curve turns into a probability.
+drift, so that clean prose scores negative. The error counts texts, not
+occurrences, since the repeats within one text do not make it surer. All maximal
+segments of a text are found in one linear scan. A segment's score is set
+against the extreme values that clean prose of that length would give. The best
+segments of a text are judged together, so that many passages too short to count
+alone can be significant as a set; what that set is worth is the statistic of
+the text, which a logistic curve turns into a probability.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from postings.llm.text import FOLD, hashes, row_of, runs, slices
 BITS = 20
 SAMPLE = 20000
 STEM = 5
-DRIFT = 0.5
+DRIFT = 1.0
 PRIOR = 50.0
 EXPECTED = 0.05
 THRESHOLD = 0.5
@@ -94,21 +97,28 @@ class Model:
     slope: float = 0.5
 
 
-def log_odds(toxic: np.ndarray, other: np.ndarray, prior: float = PRIOR, drift: float = DRIFT) -> np.ndarray:
-    """Scores from the number of toxic and other texts that hold each token.
+def log_odds(
+    toxic: np.ndarray, other: np.ndarray, toxic_texts: np.ndarray, other_texts: np.ndarray, prior: float = PRIOR, drift: float = DRIFT,
+) -> np.ndarray:
+    """Scores from how often each token occurs in toxic and in other texts, and in how many texts of either.
 
-    The prior spreads ``prior`` pseudo-texts over the tokens as they occur in all
-    texts, plus half a text for each; 1.96 standard errors are taken off.
+    The prior spreads ``prior`` pseudo-counts over the tokens as they occur in all
+    texts, plus a half for each; 1.96 standard errors, which follow from the texts, are taken off.
     """
-    both = toxic + other
-    a = np.where(both > 0, prior * both / max(both.sum(), 1) + 0.5, 1.0)
-    t, o = toxic + a, other + a
-    unseen = both == 0
-    gap = np.log(t / t[~unseen].sum() if both.any() else t) - np.log(o / o[~unseen].sum() if both.any() else o)
+    unseen = toxic + other == 0
+    t, o = _with_prior(toxic, other, prior)
+    gap = np.log(t / max(t[~unseen].sum(), 1)) - np.log(o / max(o[~unseen].sum(), 1))
+    t, o = _with_prior(toxic_texts, other_texts, prior)
     sure = np.maximum(np.abs(gap) - 1.96 * np.sqrt(1 / t + 1 / o), 0)
     return np.where(unseen, 0, np.sign(gap) * sure) - drift
 
 
+def _with_prior(toxic: np.ndarray, other: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    both = toxic + other
+    a = np.where(both > 0, prior * both / max(both.sum(), 1) + 0.5, 1.0)
+    return toxic + a, other + a
+
+
 def decay_of(score: np.ndarray, other: np.ndarray) -> float:
     """The positive root of sum p exp(decay * score) = 1 over clean tokens; a rare gain is assumed where clean texts show none."""
     p = np.append(other + 0.0, 1.0)
@@ -142,8 +152,24 @@ def segments(bounds: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float]]
     return [(a, b, right - left) for a, b, left, right, _ in found]
 
 
+def evidence(normal: np.ndarray) -> tuple[float, int]:
+    """What the segments of a text are worth together, and how many of the best give that.
+
+    ``normal`` are normalised scores, highest first. The r best of clean prose have a sum above t with a
+    probability of about exp(-t) t^(r-1) / (r! (r-1)!); the least over all r counts, as its negative logarithm.
+    """
+    total, r = np.cumsum(normal), np.arange(1, len(normal) + 1)
+    worth = total - (r - 1) * np.log(np.maximum(total, 1e-9)) + 2 * np.cumsum(np.log(r)) - np.log(r)
+    worth = np.where(total > r - 1, worth, 0.0)  # below, the sum is no rare one
+    best = int(worth.argmax())
+    return max(float(worth[best]), 0.0), best + 1
+
+
 def passages(texts: pa.Array, model: Model, expected: float = EXPECTED) -> Iterator[tuple[float, list[tuple[int, int, float]]]]:
-    """Per text its statistic and the significant passages as (first byte, end byte, normalised score)."""
+    """Per text its statistic and the significant passages as (first byte, end byte, normalised score), in order.
+
+    The passages are those of the best set, where clean prose would hold fewer than ``expected`` such sets.
+    """
     bits = len(model.score).bit_length() - 1
     for _, data, offsets in slices(texts):
         row, bucket, starts, ends = tokens(data, offsets, bits)
@@ -157,14 +183,12 @@ def passages(texts: pa.Array, model: Model, expected: float = EXPECTED) -> Itera
             if not len(k):
                 yield 0.0, []
                 continue
-            bounds = np.stack((total[k], total[k + 1]), 1)
-            level = np.log(first[r + 1] - first[r])
-            kept = []
-            for a, b, s in segments(bounds, k):
-                normal = model.decay * s - level
-                if normal >= -np.log(expected):
-                    kept.append((int(starts[a] - offsets[r]), int(ends[b] - offsets[r]), float(normal)))
-            yield sum(x[2] for x in kept), kept
+            found = segments(np.stack((total[k], total[k + 1]), 1), k)
+            normal = model.decay * np.array([s for *_, s in found]) - np.log(first[r + 1] - first[r])
+            order = np.argsort(-normal, kind="stable")
+            worth, best = evidence(normal[order])
+            chosen = np.sort(order[:best]) if worth >= -np.log(expected) else []
+            yield worth, [(int(starts[found[i][0]] - offsets[r]), int(ends[found[i][1]] - offsets[r]), float(normal[i])) for i in chosen]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, bits: int = BITS) -> Model:
@@ -173,23 +197,29 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     size = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, size), np.int64)
+        times, held_by = np.zeros((2, size), np.int64), np.zeros((2, size), np.int64)
         for b in batches:
             label_of = np.asarray(b.column("label"))
             for first, data, offsets in slices(b.column("text")):
                 row, bucket, _, _ = tokens(data, offsets, bits)
-                key = np.unique(row * size + bucket)
+                key, n = np.unique(row * size + bucket, return_counts=True)
                 toxic = label_of[first + key // size] == 1
                 for k in (0, 1):
-                    sums[k] += np.bincount(key[toxic == bool(k)] % size, minlength=size)
-        held = np.flatnonzero(sums.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(sums[0][held]), pa.array(sums[1][held])], ["bucket", "other", "toxic"])
-
-    sums = rows.mapInArrow(count, "bucket long, other long, toxic long").groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
-    toxic, other = np.zeros(size), np.zeros(size)
+                    mine = toxic == bool(k)
+                    np.add.at(times[k], key[mine] % size, n[mine])
+                    held_by[k] += np.bincount(key[mine] % size, minlength=size)
+        at = np.flatnonzero(held_by.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(c[k][at]) for c in (times, held_by) for k in (0, 1))], ["bucket", *names])
+
+    names = ["other", "toxic", "other_texts", "toxic_texts"]
+    counted = rows.mapInArrow(count, f"bucket long, {', '.join(f'{n} long' for n in names)}")
+    sums = counted.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     at = np.asarray(sums["bucket"])
-    toxic[at], other[at] = np.asarray(sums["toxic"]), np.asarray(sums["other"])
-    score = log_odds(toxic, other).astype(np.float32)
+    dense = {n: np.zeros(size) for n in names}
+    for n, column in dense.items():
+        column[at] = np.asarray(sums[n])
+    other = dense["other"]
+    score = log_odds(**dense).astype(np.float32)
     model = Model(score, decay_of(score.astype(float), other))
 
     # The curve is fitted to counts of texts by label and by statistic in steps of a half, up to a bound.
