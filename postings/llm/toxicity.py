@@ -5,8 +5,9 @@ longer than words are, and runs of scripts that set no spaces, are cut into
 overlapping grams instead, so every letter is in a token. A token's score
 is the log-odds of its occurrences in toxic against other labelled texts under
 Dirichlet priors, drawn towards zero by its standard error, less a constant
-drift, so that clean prose scores negative. The error counts texts, not
-occurrences, since the repeats within one text do not make it surer. All maximal
+drift, so that clean prose scores negative. Of n
+occurrences in one text 1 + ln n count, and the error counts texts alone, since
+repeats within one text do not make a token surer. All maximal
 segments of a text are found in one linear scan. A segment's score is set
 against the extreme values that clean prose of that length would give. The best
 segments of a text are judged together, so that many passages too short to count
@@ -32,10 +33,12 @@ from postings.llm.text import FOLD, hashes, row_of, runs, slices
 BITS = 20
 SAMPLE = 20000
 STEM = 5
-DRIFT = 1.0
+DRIFT = 0.5
 PRIOR = 50.0
 EXPECTED = 0.05
 THRESHOLD = 0.5
+#: Counts are summed as whole numbers of this part, so their sums do not depend on an order.
+PART = 1 << 16
 _U = np.uint64
 
 #: A longer run of letters is no word.
@@ -100,7 +103,7 @@ class Model:
 def log_odds(
     toxic: np.ndarray, other: np.ndarray, toxic_texts: np.ndarray, other_texts: np.ndarray, prior: float = PRIOR, drift: float = DRIFT,
 ) -> np.ndarray:
-    """Scores from how often each token occurs in toxic and in other texts, and in how many texts of either.
+    """Scores from how often each token counts in toxic and in other texts, and in how many texts of either.
 
     The prior spreads ``prior`` pseudo-counts over the tokens as they occur in all
     texts, plus a half for each; 1.96 standard errors, which follow from the texts, are taken off.
@@ -206,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
                 toxic = label_of[first + key // size] == 1
                 for k in (0, 1):
                     mine = toxic == bool(k)
-                    np.add.at(times[k], key[mine] % size, n[mine])
+                    np.add.at(times[k], key[mine] % size, np.rint((1 + np.log(n[mine])) * PART).astype(np.int64))
                     held_by[k] += np.bincount(key[mine] % size, minlength=size)
         at = np.flatnonzero(held_by.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(c[k][at]) for c in (times, held_by) for k in (0, 1))], ["bucket", *names])
@@ -218,6 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     dense = {n: np.zeros(size) for n in names}
     for n, column in dense.items():
         column[at] = np.asarray(sums[n])
+    dense["other"] /= PART
+    dense["toxic"] /= PART
     other = dense["other"]
     score = log_odds(**dense).astype(np.float32)
     model = Model(score, decay_of(score.astype(float), other))

@@ -44,17 +44,17 @@ def test_log_odds_by_hand():
     wanted = []
     for i in range(4):
         if toxic[i] + other[i] == 0:
-            wanted.append(-1.0)
+            wanted.append(-toxicity.DRIFT)
             continue
         both, texts = [a + b for a, b in zip(toxic, other)], [a + b for a, b in zip(toxic_texts, other_texts)]
         share = [drawn(c, both, i) / sum(drawn(c, both, j) for j in range(3)) for c in (toxic, other)]
         gap = log(share[0] / share[1])
         error = sqrt(sum(1 / drawn(c, texts, i) for c in (toxic_texts, other_texts)))
-        wanted.append((1 if gap > 0 else -1) * max(abs(gap) - 1.96 * error, 0) - 1.0)
-    got = toxicity.log_odds(*map(np.array, (toxic, other, toxic_texts, other_texts)), drift=1.0)
+        wanted.append((1 if gap > 0 else -1) * max(abs(gap) - 1.96 * error, 0) - toxicity.DRIFT)
+    got = toxicity.log_odds(*map(np.array, (toxic, other, toxic_texts, other_texts)))
     assert got == pytest.approx(wanted)
     none = np.zeros(4)
-    assert toxicity.log_odds(none, none, none, none, drift=1.0) == pytest.approx([-1.0] * 4)
+    assert toxicity.log_odds(none, none, none, none) == pytest.approx([-toxicity.DRIFT] * 4)
 
 
 def test_a_word_that_one_text_repeats_is_less_sure_than_one_of_many_texts():
