@@ -14,7 +14,7 @@ from postings.operators import dedup
 from postings.operators.quality import enforce
 from postings.operators.sizing import fetched
 from postings.plans import bronze, checks, days, gold, silver
-from postings.sources import warehouse
+from postings.sources import publication, warehouse
 from postings.sources.warehouse import file_states, replace_days, save_table, save_view, stored
 
 ADS = "intermediate.vacancies_enriched"
@@ -24,6 +24,13 @@ ADS = "intermediate.vacancies_enriched"
 BUILT = "intermediate.ads_built_from"
 
 
+#: What a build publishes as one. The history is a view over tables that its days advance, and is read there.
+PUBLISHED = (
+    days.FACTS, "marts.mart_market_daily", "marts.mart_salary_daily", "marts.mart_salary_disclosure", "marts.mart_city_daily", "marts.bi_vacancies",
+    "marts.mart_company_role", "marts.mart_qa_unmatched_titles", "marts.dim_company", "marts.dim_location", "marts.dim_date", "marts.dim_country", "marts.dim_role",
+)
+
+
 def rules_in_force() -> str:
     """A digest of the sources that decide what an ad row holds."""
     sources = [fixed, columns, dedup, silver]
@@ -101,9 +108,15 @@ def build(
 
 
 def run_day(
-    spark: SparkSession, folder: str, *dates: str, allow_incomplete: bool = False
+    spark: SparkSession, folder: str, *dates: str, allow_incomplete: bool = False, publish_to: str | None = None
 ) -> bronze.Load:
-    """Load, rebuild and test; raises when a data test fails."""
+    """Load, rebuild and test; raises when a data test fails.
+
+    With ``publish_to`` the marts that passed are published there as one version (:mod:`postings.sources.publication`);
+    readers of it never see a build at work or one that failed.
+    """
     loaded = bronze.load_days(spark, folder, *dates, allow_incomplete=allow_incomplete)
     enforce(build(spark))
+    if publish_to:
+        publication.publish(spark, publish_to, *PUBLISHED)
     return loaded

@@ -613,6 +613,7 @@ BODIES = {
     "replaced_days": "SELECT * EXCLUDE (ci) FROM raw_rows WHERE day(run_date) > 10 OR page = 1",
     "repartitioned_table": "SELECT run_date, count(*) AS n, '[True, False], by day: True' AS state FROM raw_rows GROUP BY run_date",
     "layer_tables": "SELECT * FROM market",
+    "published_versions": "SELECT *, 1 AS version FROM market WHERE day(observed_on) <= 15 UNION ALL SELECT *, 2 FROM market",
     "row_counts": """
         SELECT 'raw' AS layer, count(*) AS n_rows FROM raw_rows
         UNION ALL SELECT 'staged', count(*) FROM raw_rows WHERE source_id IS NOT NULL""",

@@ -18,7 +18,7 @@ from postings.operators.quantiles import DISCRETE, quantiles
 from postings.operators.sizing import fetched
 from postings.operators.snapshot import latest_day
 from postings.plans import checks, dashboard, gold, reports, silver
-from postings.sources import landing, warehouse
+from postings.sources import landing, publication, warehouse
 from postings.sources.warehouse import stored
 from verification.observations import envelopes, pages, raw_rows, table
 
@@ -705,6 +705,20 @@ def layer_tables(x: Layers) -> DataFrame:
     return warehouse.save_table(gold.market_daily(facts), f"{base}.market", "observed_on")
 
 
+@query
+def published_versions(x: Layers) -> DataFrame:
+    """Market mart published with the first half of each month, then whole: both versions can still be read."""
+    base = warehouse.scratch_database(x.spark)
+    root, table = warehouse.scratch_folder(x.spark), f"{base}.market"
+    market = gold.market_daily(x.stored_facts)
+    warehouse.save_table(market.where(F.dayofmonth("observed_on") <= 15), table, "observed_on")
+    publication.publish(x.spark, root, table)
+    warehouse.replace_days(market.where(F.dayofmonth("observed_on") > 15), table, "observed_on")
+    publication.publish(x.spark, root, table)
+    both = [publication.read(x.spark, root, "market", v).withColumn("version", F.lit(v)) for v in publication.versions(x.spark, root)]
+    return both[0].unionByName(both[1])
+
+
 @query
 def row_counts(x: Layers) -> DataFrame:
     base = warehouse.scratch_database(x.spark)
