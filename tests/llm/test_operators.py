@@ -423,6 +423,31 @@ def test_runs_of_spaces_and_long_words_take_the_cheapest_path(spark, monkeypatch
         assert all(len(w) <= 50 for w in sliced) and [i for w in sliced for i in cheapest(w, table, spelt)] == got[k]
 
 
+def test_words_are_cut_where_no_piece_runs_over(spark, docs, monkeypatch):
+    listed = piece_lattice.piece_table(PIECES)
+    table, spelt = {p: (i, c) for p, i, c in listed}, piece_lattice.byte_ids(PIECES)
+    edges = piece_lattice.packed_edges(listed)
+    beside = {p[k:k + 2] for p in table for k in range(len(p) - 1)}
+    words = sorted({w for x in texts(docs).values() for w in piece_lattice.words_of(x)})[::7] + [w for r in ODD for w in piece_lattice.words_of((r[1] or "")[:5000])]
+    parts, many = piece_lattice.parts_of(words, *piece_lattice.neighbours(edges))
+    assert "".join(parts) == "".join(words) and many.sum() == len(parts) and many.min() > 0
+    at = 0
+    for w, n in zip(words, many.tolist()):
+        mine, at = parts[at:at + n], at + n
+        assert "".join(mine) == w and [i for p in mine for i in cheapest(p, table, spelt)] == cheapest(w, table, spelt)
+        m = [p.replace(piece_lattice.MARK, piece_lattice.OWN).replace(" ", piece_lattice.MARK) for p in mine]
+        assert all(a[-1] + b[0] not in beside for a, b in zip(m, m[1:])) and all(p[k:k + 2] in beside for p in m for k in range(len(p) - 1))
+    # A word's end mark or quote makes no lattice of its own, before or after a line end either.
+    asked, lattice = [], piece_lattice.lattice
+    monkeypatch.setattr(piece_lattice, "lattice", lambda words, *more: asked.append(words) or lattice(words, *more))
+    rows = [(1, "lattice lattice### (lattice) lattice\nlattice\n\nlattice### 7lattice7"), (2, None), (3, "lattice###")]
+    got = {r.doc_id: r.ids for r in piece_lattice.encode(spark.createDataFrame(rows, "doc_id long, text string"), PIECES).collect()}
+    assert got == {k: cheapest(" " + (x or ""), table, spelt) for k, x in rows}
+    lattices = sorted(r.word for r in asked[0].collect())
+    assert lattices == sorted({p for _, x in rows for p in piece_lattice.parts_of([" " + (x or "")], *piece_lattice.neighbours(edges))[0]})
+    assert not any("lattice" in w and "#" in w or w != "\n" and "\n" in w for w in lattices)
+
+
 # --- 8: mixing ---------------------------------------------------------------------------------
 
 def test_targets_by_filling_again_and_again(spark):
