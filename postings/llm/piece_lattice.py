@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
+from postings.llm.workers import let_go, letting_go
+
 CHUNK_BYTES = 6 << 20
 MARK = "\u2581"
 #: Stands for a space mark of the text's own inside the lattice; a private-use character, so no piece holds it.
@@ -52,7 +54,7 @@ LONGEST_WORD = 1 << 16
 #: Words whose edges are grouped in memory at once, some kilobytes each; a task has fewer.
 GROUPED_WORDS = 100_000
 #: Pieces put together at once.
-SLICE_PIECES = 1 << 18
+SLICE_PIECES = 1 << 16
 #: Words cut into parts at once.
 SLICE_WORDS = 1 << 14
 
@@ -206,7 +208,7 @@ def _chunks(docs: DataFrame, shared: Broadcast, blocks: int) -> DataFrame:
         if ids:
             yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "chunk long, data binary, asked binary")
+    return docs.select("doc_id", "text").mapInArrow(letting_go(run), "chunk long, data binary, asked binary")
 
 
 def _numbering() -> defaultdict[str, int]:
@@ -310,7 +312,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     table = piece_table(path)
     edges = packed_edges(table)
-    pieces = spark.createDataFrame(list(edges.items()), "piece string, edge long")
+    # A local relation: rows given as a list would pass through Python workers of their own.
+    pieces = spark.createDataFrame(pa.table({"piece": pa.array(list(edges), pa.string()), "edge": pa.array(list(edges.values()), pa.int64())}))
     shared = spark.sparkContext.broadcast((edges, *neighbours(edges)))
     longest = max(len(p) for p, _, _ in table)
     if longest > 1 << _LENGTH_BITS:
@@ -376,8 +379,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     answers = asked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(answer, "chunk long, block int, lengths binary, ids binary")
 
-    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A chunk's documents with the pieces of their words put in place."""
+    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
         (data,) = left.column("data").to_pylist()
         ids, held = pickle.loads(data)
         n_words, words, n_parts, parts = map(_numbers, held)
@@ -396,6 +398,12 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32()))
         return pa.table({"doc_id": pa.array(ids, pa.int64() if kind == "bigint" else None), "ids": lists})
 
+    def whole(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A chunk's documents with the pieces of their words put in place."""
+        out = joined(left, right)
+        let_go()
+        return out
+
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(whole, f"doc_id {kind}, ids array<int>")
 
 
@@ -438,7 +446,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*columns, text])
 
     schema = ", ".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in columns)
-    return encoded.select(*columns).mapInArrow(run, f"{schema}, `{text}` string")
+    return encoded.select(*columns).mapInArrow(letting_go(run), f"{schema}, `{text}` string")
 
 
 def summary(docs: DataFrame, path: str) -> DataFrame:

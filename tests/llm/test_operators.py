@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("postings.llm")
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from postings.llm import (
     fingerprints, jaccard_join, labelled, licence_scan, mixing, piece_lattice, quality_classifier, quality_rules, queries,
-    suffix_dedup, token_codes, toxicity,
+    suffix_dedup, token_codes, toxicity, workers,
 )
 from postings.llm.components import components
 from postings.llm.text import words as numbered_words
@@ -448,6 +449,38 @@ def test_words_are_cut_where_no_piece_runs_over(spark, docs, monkeypatch):
     assert not any("lattice" in w and "#" in w or w != "\n" and "\n" in w for w in lattices)
 
 
+def test_pieces_are_a_local_relation(spark, docs):
+    """As an RDD of Python rows they would start workers of another kind on every executor, which stay."""
+    plan = piece_lattice.encode(docs, PIECES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "LocalRelation [piece" in plan
+
+
+def test_workers_give_their_memory_back(spark, docs):
+    def resident(_=None):
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    def run(batches):
+        for b in batches:
+            # Small things between those that stay: an allocator returns none of their pages by itself.
+            held = [bytes(2000) for _ in range(60_000)]
+            sizes.append(resident())
+            kept.extend(held[::500])
+            del held
+            yield b
+
+    sizes, kept = [], []
+    batch = pa.RecordBatch.from_pydict({"x": [1]})
+    assert [b.num_rows for b in workers.letting_go(run)(iter([batch, batch]))] == [1, 1]
+    assert max(sizes) - resident() > 80 << 20
+    tasks, mapped = [], type(docs).mapInArrow
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(docs), "mapInArrow", lambda self, f, *more, **named: tasks.append(f) or mapped(self, f, *more, **named))
+        piece_lattice.decode(piece_lattice.encode(docs, PIECES), PIECES)
+    # The tasks that hold whole texts: cutting them into words and spelling them again.
+    assert all(hasattr(f, "__wrapped__") for f in (tasks[0], tasks[-1]))
+
+
 # --- 8: mixing ---------------------------------------------------------------------------------
 
 def test_targets_by_filling_again_and_again(spark):
