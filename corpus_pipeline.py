@@ -2,6 +2,7 @@
 
 What a stage wrote on its way is dropped when a later stage starts on rows that do not read it, since its
 result is written by then. So one pipeline runs at a time in a session, and a stage's result is written before the next one starts.
+The driver gives free memory back as it goes, since all stages of all runs in a session pass through it.
 Columns beyond those of ``documents`` are carried along under names of their own, so none clashes with an operator's.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from postings.llm import jaccard_join, mixing, piece_lattice, quality_rules, suffix_dedup
 from postings.llm.shipping import ship
+from postings.llm.workers import let_driver_go
 from postings.sources.warehouse import Intermediates, intermediates, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,8 +36,9 @@ def placed(place: int, last: bool = False) -> Callable[[Stage], Stage]:
             for entry in [e for e in left if e[0] < place and not e[1].read_by(docs)]:
                 entry[1].drop()
                 left.remove(entry)
+            let_driver_go(spark)
             names = docs.columns
-            with intermediates() as made:
+            with intermediates(let_driver_go) as made:
                 found = stage(spark, docs.toDF(*[c if c in COLUMNS else f"carried_along_{k}" for k, c in enumerate(names)]), sf_dir)
             left.append((place, made))
             return found if last else found.toDF(*names)

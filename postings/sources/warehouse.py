@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from datetime import date
@@ -97,13 +97,16 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 class Intermediates:
-    """What :func:`stored` wrote in a scope, and whether it may go."""
+    """What :func:`stored` wrote in a scope, and whether it may go; ``then`` is called after each write."""
 
-    def __init__(self) -> None:
+    def __init__(self, then: Callable[[SparkSession], None] | None = None) -> None:
         self._written: list[tuple[DataFrame, str]] = []
+        self._then = then
 
     def add(self, df: DataFrame, path: str) -> None:
         self._written.append((df, path))
+        if self._then:
+            self._then(df.sparkSession)
 
     def drop(self, *but: DataFrame) -> None:
         """Delete all of it but the frames ``but``. The caller knows that no other frame still reads it."""
@@ -122,13 +125,13 @@ _SCOPES: ContextVar[tuple[Intermediates, ...]] = ContextVar("scopes", default=()
 
 
 @contextmanager
-def intermediates() -> Iterator[Intermediates]:
-    """A scope that notes what :func:`stored` writes inside it, in inner scopes too.
+def intermediates(then: Callable[[SparkSession], None] | None = None) -> Iterator[Intermediates]:
+    """A scope that notes what :func:`stored` writes inside it, in inner scopes too, and calls ``then`` after each write.
 
     Written rows are on shared storage, so once the rows made from them are written, losing
     an executor needs them no more.
     """
-    scope = Intermediates()
+    scope = Intermediates(then)
     token = _SCOPES.set((*_SCOPES.get(), scope))
     try:
         yield scope

@@ -24,6 +24,7 @@ from postings.llm import (
 )
 from postings.llm.components import components
 from postings.llm.text import words as numbered_words
+from postings.sources.warehouse import stored
 from verification.compare import connect, normal
 
 SF = "/root/testdata/sf0.001"
@@ -637,6 +638,35 @@ def test_near_copies_of_rows_that_share_an_id_or_have_none(spark, odd):
     assert Counter(map(tuple, kept.collect())) == Counter([(5, LONG), (None, PASSAGE), (5, "one two three"), (7, "four five six"), (8, " ")])
 
 
+def test_a_stage_gives_memory_of_the_driver_back(spark, none):
+    """What the JVM has freed outside its heap, kept by glibc as long as a later piece is in use: before a stage, and as it writes."""
+    native, pid = spark._jvm.org.apache.spark.unsafe.Platform, spark._jvm.java.lang.ProcessHandle.current().pid()
+
+    def resident():
+        with open(f"/proc/{pid}/status") as f:
+            return int(re.search(r"VmRSS:\s+(\d+) kB", f.read())[1]) >> 10
+
+    def freed():
+        pieces = [native.allocateMemory(100_000) for _ in range(3000)]
+        for p in pieces:
+            native.setMemory(p, 1, 100_000)
+        for p in pieces[:-1]:
+            native.freeMemory(p)
+        return resident()
+
+    def stage(spark, docs, sf_dir):
+        found.append((before, resident()))
+        kept = freed()
+        stored(docs)
+        found.append((kept, resident()))
+        return docs
+
+    found, _ = [], stored(none)
+    before = freed()
+    corpus_pipeline.placed(0)(stage)(spark, none, SF)
+    assert all(after < full - 150 for full, after in found) and len(found) == 2
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
 def test_pipeline_stages(spark, docs):
     rows = docs
